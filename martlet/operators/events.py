@@ -114,12 +114,12 @@ def headers(accepted_events: DataFrame) -> DataFrame:
     return first_per_key(accepted_events.select(*cols), ["transaction_id"])
 
 
-def lines(accepted_events: DataFrame) -> DataFrame:
+def lines(accepted_events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One line per event. An event is a one-line sale, so the line takes
     the event's key as its line id: replays map to the same line."""
     cols = ["transaction_id", "product_id", "quantity", "price"]
-    first = first_per_key(accepted_events.select(*cols), ["transaction_id"])
-    return first.select(F.col("transaction_id").alias("transaction_item_id"), *cols)
+    first = first_per_key(accepted_events.select(*cols, *keep), ["transaction_id"], order=cols[1:])
+    return first.select(F.col("transaction_id").alias("transaction_item_id"), *cols, *keep)
 
 
 def minute_counts(events: DataFrame, ts: str = "transaction_date") -> DataFrame:
