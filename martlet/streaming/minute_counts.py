@@ -19,11 +19,18 @@ from martlet.operators import events
 TIME = "transaction_date"
 
 
+def event_time(col: str = TIME) -> F.Column:
+    """The event instant. The wire time is UTC wall clock and the session
+    zone is pinned to UTC (``martlet.session``), so the cast is exact;
+    watermarks need this zoned type."""
+    return F.col(col).cast("timestamp")
+
+
 def minute_counts(parsed: DataFrame, lateness: str = "0 seconds") -> DataFrame:
     """(minute, n) for every completed minute of a parsed event stream."""
-    timed = parsed.where(F.col(TIME).isNotNull())
-    counts = (timed.withWatermark(TIME, lateness)
-              .groupBy(F.window(TIME, "1 minute").alias("w"))
+    timed = parsed.where(F.col(TIME).isNotNull()).withColumn("_event_ts", event_time())
+    counts = (timed.withWatermark("_event_ts", lateness)
+              .groupBy(F.window("_event_ts", "1 minute").alias("w"))
               .agg(F.count(F.lit(1)).alias("n")))
     return counts.select(minute_label(F.col("w.start")).alias("minute"), "n")
 
