@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import dates, money
+from martlet.operators import skew
+from martlet.operators.joins import broadcast_if_small
 from martlet.schemas import FACT_COLUMNS, FACT_LINE_KEY
 
 DEFAULT_CAMPAIGN_KEY = 1
@@ -51,34 +53,57 @@ def add_measures(lines: DataFrame, price: str = "price") -> DataFrame:
     return out.withColumns(money.line_measures("quantity", "unit_price"))
 
 
-def add_basket_metrics(lines: DataFrame) -> DataFrame:
+def _basket_sums(lines: DataFrame) -> dict:
+    return {"_q": F.sum("quantity"), "_c": F.sum(money.cents("unit_price")), "_n": F.count(F.lit(1))}
+
+
+def add_basket_metrics(lines: DataFrame, hot: skew.HotKeys | None = None) -> DataFrame:
     """item_count = total quantity of the transaction, avg_item_price =
     unweighted mean line price, on every line.
 
-    A grouped aggregate (with map-side partial sums) joined back on the
-    transaction id instead of a window: a basket with millions of lines is
-    pre-aggregated before its shuffle, and the join back is split by the
-    skew-join rule when one transaction is hot."""
-    basket = lines.groupBy("transaction_id").agg(
-        F.sum("quantity").cast("int").alias("item_count"),
-        F.sum(money.cents("unit_price")).alias("_cents"),
-        F.count(F.lit(1)).alias("_n"),
-    ).select("transaction_id", "item_count",
-             money.mean_from_cents("_cents", "_n").alias("avg_item_price"))
-    return lines.join(basket, "transaction_id")
+    One window pass over (transaction_id, bucket). Lines that come out of
+    a salted join are already partitioned and sorted that way, so the
+    window needs no shuffle and no sort; a cold transaction has a single
+    bucket, so its window is the whole basket. Hot transactions (a bounded
+    list) get their totals from a grouped aggregate over just their lines
+    (a literal ``isin`` filter that reaches the scans) broadcast back."""
+    part = ["transaction_id"] + ([skew.SALT] if skew.SALT in lines.columns else [])
+    w = Window.partitionBy(*part)
+    out = lines.withColumns({k: agg.over(w) for k, agg in _basket_sums(lines).items()})
+    if hot is not None and hot.values:
+        sums = _basket_sums(lines)
+        totals = (lines.where(F.col("transaction_id").isin(hot.values)).groupBy("transaction_id")
+                  .agg(*[agg.alias(f"{k}_hot") for k, agg in sums.items()]))
+        out = out.join(F.broadcast(totals), "transaction_id", "left")
+        for k in sums:
+            out = out.withColumn(k, F.coalesce(F.col(f"{k}_hot"), F.col(k))).drop(f"{k}_hot")
+    return (out.withColumn("item_count", F.col("_q").cast("int"))
+            .withColumn("avg_item_price", money.mean_from_cents("_c", "_n"))
+            .drop("_q", "_c", "_n"))
 
 
 def build_fact(tx_clean: DataFrame, items: DataFrame, dim_customer: DataFrame,
                dim_product: DataFrame, campaign_key: int = DEFAULT_CAMPAIGN_KEY) -> DataFrame:
     """The 16 columns of fact_sales for every line of a clean transaction
     whose customer and product are in their dimensions. Basket metrics are
-    taken after the dimension lookups (lines dropped there do not count)."""
-    lines = join_header_lines(tx_clean, items)
-    lines = lookup_key(lines, dim_customer, "customer_id", "customer_key")
-    lines = lookup_key(lines, dim_product, "product_id", "product_key")
+    taken after the dimension lookups (lines dropped there do not count).
+
+    Plan: header x lines is a sort-merge join on (transaction_id, bucket)
+    where only hot transactions have more than one bucket; the dimensions
+    are broadcast when their checked size allows, so the lines keep that
+    partitioning through the lookups, the basket aggregate and its
+    join-back (no second shuffle of the lines)."""
+    hot = skew.heavy_hitters(items, "transaction_id")
+    head = tx_clean.select("transaction_id", "customer_id", "transaction_date")
+    body = items.select("transaction_item_id", "transaction_id", "product_id", "quantity", "price")
+    lines = skew.salted_join(body, head, "transaction_id", hot, row_id="transaction_item_id")
+    lines = lookup_key(lines, broadcast_if_small(dim_customer.select("customer_id", "customer_key")),
+                       "customer_id", "customer_key")
+    lines = lookup_key(lines, broadcast_if_small(dim_product.select("product_id", "product_key")),
+                       "product_id", "product_key")
     lines = with_date_key(lines).withColumn("campaign_key", F.lit(campaign_key).cast("int"))
     lines = add_measures(lines)
-    lines = add_basket_metrics(lines)
+    lines = add_basket_metrics(lines, hot)
     return lines.withColumnRenamed("date_key", "transaction_date_key").select(*FACT_COLUMNS)
 
 

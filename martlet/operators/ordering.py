@@ -47,17 +47,20 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def range_slices(df: DataFrame, order: Sequence[Column | str],
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted on ``order``, with the slice
     number (``_martlet_pid``) and the position inside the slice
-    (``_martlet_pos``, from 0), materialised in the checkpoint folder."""
+    (``_martlet_pos``, from 0), materialised in the checkpoint folder.
+    Only the ``keep`` columns (default: all) are written there."""
     checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
     order_cols = _cols(order)
+    kept = list(keep) if keep is not None else df.columns
     sliced = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn(_ROW, F.monotonically_increasing_id())
+        .select(*kept, _ROW)
         .checkpoint(eager=True)
     )
     return (
@@ -68,11 +71,13 @@ def range_slices(df: DataFrame, order: Sequence[Column | str],
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str,
-                      num_partitions: int | None = None, offset: Column | int = 0) -> DataFrame:
+                      num_partitions: int | None = None, offset: Column | int = 0,
+                      keep: Sequence[str] | None = None) -> DataFrame:
     """Dense 1..n numbering of ``df`` in ``order`` (which must be total for
     a deterministic result), plus ``offset``. Distributed equivalent of
-    ``row_number() over (order by ...)``."""
-    sliced = range_slices(df, order, num_partitions)
+    ``row_number() over (order by ...)``. ``keep`` limits the columns
+    carried past the numbering (default: all)."""
+    sliced = range_slices(df, order, num_partitions, keep)
     counts = sliced.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     # One row per slice: bounded by the partition count, safe to broadcast.
     starts = counts.select(

@@ -4,6 +4,7 @@ taking ``(spark, sf_dir)`` and reading the test tables of ``sf_dir``."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,137 +22,159 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Callable[[SourceSet], DataFrame]) -> Callable[[SourceSet], DataFrame]:
-    """Register ``fn(src)`` under its name as a ``(spark, sf_dir)`` query."""
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(sources(spark, sf_dir))
-    return fn
-
+class Ctx:
+    """The inputs of one query: the fixture views plus the shared derived
+    frames (clean transactions, dimensions, fact), each built at most once
+    per query, so a query that joins the fact back to its dimensions uses
+    the same keyed dimension on both sides."""
 
-# --- shared building blocks ------------------------------------------------------
+    def __init__(self, src: SourceSet):
+        self.src = src
 
-def tx_clean(src: SourceSet) -> DataFrame:
-    return clean.clean_transactions(src.transactions, AS_OF)
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return getattr(self.src, name)
 
+    @cached_property
+    def tx_clean(self) -> DataFrame:
+        return clean.clean_transactions(self.src.transactions, AS_OF)
 
-def customer_dim(src: SourceSet) -> DataFrame:
-    return dims.assign_keys(clean.clean_customers(src.customers, AS_OF), "customer_id", "customer_key")
+    @cached_property
+    def customer_rows(self) -> DataFrame:
+        return clean.clean_customers(self.src.customers, AS_OF)
 
+    @cached_property
+    def customer_dim(self) -> DataFrame:
+        return dims.assign_keys(self.customer_rows, "customer_id", "customer_key")
 
-def product_dim(src: SourceSet) -> DataFrame:
-    return dims.assign_keys(clean.clean_products(src.products), "product_id", "product_key")
+    @cached_property
+    def product_dim(self) -> DataFrame:
+        return dims.assign_keys(clean.clean_products(self.src.products), "product_id", "product_key")
 
+    @cached_property
+    def campaign_dim(self) -> DataFrame:
+        rows = clean.with_default_campaign(clean.clean_campaigns(self.src.marketing_campaigns))
+        return dims.assign_keys(rows, "campaign_id", "campaign_key")
 
-def campaign_dim(src: SourceSet) -> DataFrame:
-    rows = clean.with_default_campaign(clean.clean_campaigns(src.marketing_campaigns))
-    return dims.assign_keys(rows, "campaign_id", "campaign_key")
+    @cached_property
+    def date_dim(self) -> DataFrame:
+        return dims.dim_date(self.tx_clean)
 
+    @cached_property
+    def header_lines(self) -> DataFrame:
+        return facts.join_header_lines(self.tx_clean, self.src.transaction_items)
 
-def fact(src: SourceSet) -> DataFrame:
-    return facts.build_fact(tx_clean(src), src.transaction_items, customer_dim(src), product_dim(src))
+    @cached_property
+    def fact(self) -> DataFrame:
+        return facts.build_fact(self.tx_clean, self.src.transaction_items, self.customer_dim, self.product_dim)
 
 
-def header_lines(src: SourceSet) -> DataFrame:
-    return facts.join_header_lines(tx_clean(src), src.transaction_items)
+def query(fn: Callable[[Ctx], DataFrame]) -> Callable[[Ctx], DataFrame]:
+    """Register ``fn(ctx)`` under its name as a ``(spark, sf_dir)`` query."""
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Ctx(sources(spark, sf_dir)))
+    return fn
 
 
 # --- cleaning ----------------------------------------------------------------------
 
 @query
-def clean_transactions(src: SourceSet) -> DataFrame:
-    return tx_clean(src)
+def clean_transactions(src: Ctx) -> DataFrame:
+    return src.tx_clean
 
 
 @query
-def dim_customer(src: SourceSet) -> DataFrame:
-    return customer_dim(src)
+def dim_customer(src: Ctx) -> DataFrame:
+    return src.customer_dim
 
 
 @query
-def dim_product(src: SourceSet) -> DataFrame:
-    return product_dim(src)
+def dim_product(src: Ctx) -> DataFrame:
+    return src.product_dim
 
 
 @query
-def dim_campaign(src: SourceSet) -> DataFrame:
-    return campaign_dim(src)
+def dim_campaign(src: Ctx) -> DataFrame:
+    return src.campaign_dim
 
 
 @query
-def dim_date(src: SourceSet) -> DataFrame:
-    return dims.dim_date(tx_clean(src))
+def dim_date(src: Ctx) -> DataFrame:
+    return src.date_dim
 
 
 # --- fact -----------------------------------------------------------------------------
 
 @query
-def join_header_lines(src: SourceSet) -> DataFrame:
-    return header_lines(src).select("transaction_item_id", "transaction_id", "customer_id",
+def join_header_lines(src: Ctx) -> DataFrame:
+    return src.header_lines.select("transaction_item_id", "transaction_id", "customer_id",
                                     "product_id", "transaction_date")
 
 
 @query
-def fact_measures(src: SourceSet) -> DataFrame:
-    m = facts.add_measures(header_lines(src))
+def fact_measures(src: Ctx) -> DataFrame:
+    m = facts.add_measures(src.header_lines)
     return m.select("transaction_item_id", "unit_price", "gross_amount", "net_amount",
                     "tax_amount", "total_amount", "cost_amount", "profit_amount")
 
 
 @query
-def fact_sales(src: SourceSet) -> DataFrame:
-    return fact(src)
+def fact_sales(src: Ctx) -> DataFrame:
+    return src.fact
 
 
 @query
-def lookup_customer(src: SourceSet) -> DataFrame:
-    return facts.lookup_key(header_lines(src), customer_dim(src), "customer_id", "customer_key") \
+def lookup_customer(src: Ctx) -> DataFrame:
+    return facts.lookup_key(src.header_lines, src.customer_dim, "customer_id", "customer_key") \
         .select("transaction_item_id", "customer_key")
 
 
 @query
-def lookup_product(src: SourceSet) -> DataFrame:
-    return facts.lookup_key(header_lines(src), product_dim(src), "product_id", "product_key") \
+def lookup_product(src: Ctx) -> DataFrame:
+    return facts.lookup_key(src.header_lines, src.product_dim, "product_id", "product_key") \
         .select("transaction_item_id", "product_key")
 
 
 @query
-def lookup_date(src: SourceSet) -> DataFrame:
-    return facts.lookup_date(header_lines(src), dims.dim_date(tx_clean(src))) \
+def lookup_date(src: Ctx) -> DataFrame:
+    return facts.lookup_date(src.header_lines, src.date_dim) \
         .select("transaction_item_id", "date_key")
 
 
 @query
-def basket_metrics(src: SourceSet) -> DataFrame:
-    return fact(src).select("transaction_item_id", "item_count", "avg_item_price")
+def basket_metrics(src: Ctx) -> DataFrame:
+    return src.fact.select("transaction_item_id", "item_count", "avg_item_price")
 
 
 LOADED_BEFORE = 19980101  # date keys below this count as already loaded
 
 
-def loaded_fact(src: SourceSet) -> DataFrame:
-    return fact(src).where(F.col("transaction_date_key") < LOADED_BEFORE)
+def loaded_fact(src: Ctx) -> DataFrame:
+    return src.fact.where(F.col("transaction_date_key") < LOADED_BEFORE)
+
 
 
 @query
-def fact_incremental(src: SourceSet) -> DataFrame:
-    return facts.new_lines(fact(src), loaded_fact(src))
+def fact_incremental(src: Ctx) -> DataFrame:
+    return facts.new_lines(src.fact, loaded_fact(src))
 
 
 @query
-def fact_after_append(src: SourceSet) -> DataFrame:
-    appended = loaded_fact(src).unionByName(facts.new_lines(fact(src), loaded_fact(src)))
+def fact_after_append(src: Ctx) -> DataFrame:
+    appended = loaded_fact(src).unionByName(facts.new_lines(src.fact, loaded_fact(src)))
     return facts.with_partition_columns(appended).groupBy("month_key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("gross_amount").cast("decimal(18,2)").alias("gross"))
 
 
 @query
-def fact_partition_bounds(src: SourceSet) -> DataFrame:
-    return facts.partition_bounds(fact(src))
+def fact_partition_bounds(src: Ctx) -> DataFrame:
+    return facts.partition_bounds(src.fact)
 
 
 # --- scans, coercions, text -----------------------------------------------------------
 
 @query
-def scan_snapshot_counts(src: SourceSet) -> DataFrame:
+def scan_snapshot_counts(src: Ctx) -> DataFrame:
     frames = [src.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(t).alias("table_name"), "n_rows") for t in SOURCE_TABLES]
     out = frames[0]
@@ -164,41 +187,41 @@ SOURCE_TABLES = ["customers", "products", "transactions", "transaction_items", "
 
 
 @query
-def coerce_numeric(src: SourceSet) -> DataFrame:
+def coerce_numeric(src: Ctx) -> DataFrame:
     t = src.transactions
     text = F.when(F.col("transaction_id") % 17 == 0, F.lit("bad")).otherwise(F.col("total_amount").cast("string"))
     return t.select("transaction_id", clean.coerce_numeric(text, "decimal(12,2)").alias("value"))
 
 
 @query
-def coerce_timestamp(src: SourceSet) -> DataFrame:
+def coerce_timestamp(src: Ctx) -> DataFrame:
     t = src.transactions
     text = F.when(F.col("transaction_id") % 17 == 0, F.lit("bad")).otherwise(F.col("transaction_date").cast("string"))
     return t.select("transaction_id", clean.coerce_timestamp(text).alias("value"))
 
 
 @query
-def clean_strip(src: SourceSet) -> DataFrame:
+def clean_strip(src: Ctx) -> DataFrame:
     return src.customers.select("customer_id", py_strip("name").alias("name"))
 
 
 @query
-def clean_lower(src: SourceSet) -> DataFrame:
+def clean_lower(src: Ctx) -> DataFrame:
     return src.customers.select("customer_id", strip_lower("email").alias("email"))
 
 
 @query
-def clean_title(src: SourceSet) -> DataFrame:
+def clean_title(src: Ctx) -> DataFrame:
     return src.customers.select("customer_id", strip_title("city").alias("city"))
 
 
 @query
-def clean_title_category(src: SourceSet) -> DataFrame:
+def clean_title_category(src: Ctx) -> DataFrame:
     return src.products.select("product_id", strip_title("category").alias("category"))
 
 
 @query
-def blank_to_null(src: SourceSet) -> DataFrame:
+def blank_to_null(src: Ctx) -> DataFrame:
     return src.customers.select(
         "customer_id",
         txt.blank_to_null(strip_lower("email")).alias("email"),
@@ -206,7 +229,7 @@ def blank_to_null(src: SourceSet) -> DataFrame:
 
 
 @query
-def dim_campaign_default(src: SourceSet) -> DataFrame:
+def dim_campaign_default(src: Ctx) -> DataFrame:
     none_left = clean.clean_campaigns(src.marketing_campaigns).where(
         F.col("start_date") > F.lit(AS_OF.date()))
     return clean.with_default_campaign(none_left)
@@ -215,107 +238,105 @@ def dim_campaign_default(src: SourceSet) -> DataFrame:
 # --- de-duplication ---------------------------------------------------------------------
 
 @query
-def dedupe_by_key(src: SourceSet) -> DataFrame:
+def dedupe_by_key(src: Ctx) -> DataFrame:
     return first_per_key(src.transactions, ["transaction_id"])
 
 
 @query
-def dedupe_full_row(src: SourceSet) -> DataFrame:
+def dedupe_full_row(src: Ctx) -> DataFrame:
     return src.transactions.dropDuplicates()
 
 
 @query
-def distinct_timestamps(src: SourceSet) -> DataFrame:
-    return dims.distinct_timestamps(tx_clean(src))
+def distinct_timestamps(src: Ctx) -> DataFrame:
+    return dims.distinct_timestamps(src.tx_clean)
 
 
-def _loaded_customers(src: SourceSet) -> DataFrame:
-    rows = clean.clean_customers(src.customers, AS_OF).where(F.col("customer_id") % 2 == 0)
+def _loaded_customers(src: Ctx) -> DataFrame:
+    rows = src.customer_rows.where(F.col("customer_id") % 2 == 0)
     return dims.assign_keys(rows, "customer_id", "customer_key")
 
 
 @query
-def dim_upsert_new_rows(src: SourceSet) -> DataFrame:
-    incoming = clean.clean_customers(src.customers, AS_OF)
-    return dims.insert_if_absent(incoming, _loaded_customers(src), ["customer_id"])
+def dim_upsert_new_rows(src: Ctx) -> DataFrame:
+    return dims.insert_if_absent(src.customer_rows, _loaded_customers(src), ["customer_id"])
 
 
 @query
-def surrogate_keys(src: SourceSet) -> DataFrame:
+def surrogate_keys(src: Ctx) -> DataFrame:
     loaded = _loaded_customers(src)
-    incoming = clean.clean_customers(src.customers, AS_OF)
-    new = dims.upsert_dimension(incoming, loaded, "customer_id", "customer_key")
+    new = dims.upsert_dimension(src.customer_rows, loaded, "customer_id", "customer_key")
     return loaded.select("customer_id", "customer_key").unionByName(new.select("customer_id", "customer_key"))
 
 
 # --- events and streaming semantics (batch form) -----------------------------------------
 
 @query
-def stream_reference_data(src: SourceSet) -> DataFrame:
+def stream_reference_data(src: Ctx) -> DataFrame:
     return events.reference_ranges(src.customers, src.products)
 
 
 @query
-def events_to_json(src: SourceSet) -> DataFrame:
+def events_to_json(src: Ctx) -> DataFrame:
     return events.to_payload(src.sale_events)
 
 
 @query
-def events_from_json(src: SourceSet) -> DataFrame:
+def events_from_json(src: Ctx) -> DataFrame:
     return events.from_payload(events.to_payload(src.sale_events)).drop(events.CORRUPT)
 
 
 @query
-def event_amounts(src: SourceSet) -> DataFrame:
+def event_amounts(src: Ctx) -> DataFrame:
     return src.sale_events.select("transaction_id", events.event_amount().alias("total_amount"))
 
 
-def _validated(src: SourceSet) -> DataFrame:
+def _validated(src: Ctx) -> DataFrame:
     return events.validate(src.sale_events, src.customers, src.products)
 
 
 @query
-def stream_accepted(src: SourceSet) -> DataFrame:
+def stream_accepted(src: Ctx) -> DataFrame:
     return events.accepted(_validated(src))
 
 
 @query
-def stream_rejects(src: SourceSet) -> DataFrame:
+def stream_rejects(src: Ctx) -> DataFrame:
     return events.rejected(_validated(src)).select("transaction_id", "reason")
 
 
 @query
-def stream_headers(src: SourceSet) -> DataFrame:
+def stream_headers(src: Ctx) -> DataFrame:
     return events.headers(events.accepted(_validated(src)))
 
 
 @query
-def stream_lines(src: SourceSet) -> DataFrame:
+def stream_lines(src: Ctx) -> DataFrame:
     return events.lines(events.accepted(_validated(src)))
 
 
 @query
-def minute_counts(src: SourceSet) -> DataFrame:
+def minute_counts(src: Ctx) -> DataFrame:
     return events.minute_counts(src.produced_events)
 
 
 @query
-def minute_counts_completed(src: SourceSet) -> DataFrame:
+def minute_counts_completed(src: Ctx) -> DataFrame:
     return events.completed_minutes(events.minute_counts(src.produced_events))
 
 
 @query
-def minute_count_lines(src: SourceSet) -> DataFrame:
+def minute_count_lines(src: Ctx) -> DataFrame:
     return events.minute_lines(events.completed_minutes(events.minute_counts(src.produced_events)))
 
 
 @query
-def id_high_water(src: SourceSet) -> DataFrame:
+def id_high_water(src: Ctx) -> DataFrame:
     return events.id_high_water(src.transactions, src.transaction_items)
 
 
 @query
-def load_summary(src: SourceSet) -> DataFrame:
+def load_summary(src: Ctx) -> DataFrame:
     """Rows offered to each target (what the load log sums) and rows a
     first load inserts (one per business key)."""
     def counts(name: str, df: DataFrame, key: str) -> DataFrame:
@@ -325,9 +346,9 @@ def load_summary(src: SourceSet) -> DataFrame:
     cust = clean.stage_customers(src.customers).where(clean._all(clean.customer_rules(AS_OF))).dropDuplicates()
     prod = clean.stage_products(src.products).where(clean._all(clean.product_rules())).dropDuplicates()
     camp = clean.stage_campaigns(src.marketing_campaigns).where(clean._all(clean.campaign_rules())).dropDuplicates()
-    dates_ = dims.distinct_timestamps(tx_clean(src)).select(
+    dates_ = dims.distinct_timestamps(src.tx_clean).select(
         "transaction_date", F.to_date("transaction_date").alias("_day"))
-    f = fact(src)
+    f = src.fact
     return (counts("dim_customer", cust, "customer_id")
             .unionByName(counts("dim_product", prod, "product_id"))
             .unionByName(counts("dim_campaign", camp, "campaign_id"))
@@ -338,59 +359,59 @@ def load_summary(src: SourceSet) -> DataFrame:
 # --- re-aimed seed operators ----------------------------------------------------------------
 
 @query
-def header_total(src: SourceSet) -> DataFrame:
+def header_total(src: Ctx) -> DataFrame:
     return relops.line_totals(src.transaction_items)
 
 
-def _headers(src: SourceSet) -> DataFrame:
+def _headers(src: Ctx) -> DataFrame:
     return first_per_key(src.transactions, ["transaction_id"])
 
 
 @query
-def header_total_update(src: SourceSet) -> DataFrame:
+def header_total_update(src: Ctx) -> DataFrame:
     return relops.update_header_totals(_headers(src), src.transaction_items)
 
 
 @query
-def audit_header_total(src: SourceSet) -> DataFrame:
+def audit_header_total(src: Ctx) -> DataFrame:
     return relops.header_total_mismatches(_headers(src), src.transaction_items)
 
 
 @query
-def running_customer_spend(src: SourceSet) -> DataFrame:
-    return relops.running_spend(tx_clean(src))
+def running_customer_spend(src: Ctx) -> DataFrame:
+    return relops.running_spend(src.tx_clean)
 
 
 @query
-def campaign_calendar(src: SourceSet) -> DataFrame:
+def campaign_calendar(src: Ctx) -> DataFrame:
     return relops.active_days(clean.clean_campaigns(src.marketing_campaigns))
 
 
 @query
-def customer_tiers(src: SourceSet) -> DataFrame:
+def customer_tiers(src: Ctx) -> DataFrame:
     return relops.customer_tiers(src.customers)
 
 
 @query
-def topn_per_group(src: SourceSet) -> DataFrame:
-    lines = header_lines(src)
+def topn_per_group(src: Ctx) -> DataFrame:
+    lines = src.header_lines
     n = F.when(F.col("customer_id") <= 20, F.lit(3)).otherwise(F.lit(2))
     return relops.top_lines(lines, n)
 
 
 # --- audits ---------------------------------------------------------------------------------
 
-def _source_tables(src: SourceSet) -> dict[str, DataFrame]:
+def _source_tables(src: Ctx) -> dict[str, DataFrame]:
     return {t: src.table(t) for t in SOURCE_TABLES}
 
 
 @query
-def audit_nulls(src: SourceSet) -> DataFrame:
+def audit_nulls(src: Ctx) -> DataFrame:
     return quality.null_violations(_source_tables(src))
 
 
 @query
-def audit_unique(src: SourceSet) -> DataFrame:
+def audit_unique(src: Ctx) -> DataFrame:
     return quality.unique_violations([
         ("customers.customer_id unique", src.customers, ["customer_id"]),
         ("customers.email unique", src.customers, ["email"]),
@@ -398,21 +419,21 @@ def audit_unique(src: SourceSet) -> DataFrame:
         ("transactions.transaction_id unique", src.transactions, ["transaction_id"]),
         ("transaction_items.transaction_item_id unique", src.transaction_items, ["transaction_item_id"]),
         ("marketing_campaigns.campaign_id unique", src.marketing_campaigns, ["campaign_id"]),
-        ("dim_customer.customer_id unique", customer_dim(src), ["customer_id"]),
-        ("dim_product.product_id unique", product_dim(src), ["product_id"]),
-        ("dim_campaign.campaign_id unique", campaign_dim(src), ["campaign_id"]),
-        ("dim_date.date_key unique", dims.dim_date(tx_clean(src)), ["date_key"]),
+        ("dim_customer.customer_id unique", src.customer_dim, ["customer_id"]),
+        ("dim_product.product_id unique", src.product_dim, ["product_id"]),
+        ("dim_campaign.campaign_id unique", src.campaign_dim, ["campaign_id"]),
+        ("dim_date.date_key unique", src.date_dim, ["date_key"]),
     ])
 
 
 @query
-def audit_fact_unique(src: SourceSet) -> DataFrame:
-    return quality.unique_violations([("fact_sales line unique", fact(src),
+def audit_fact_unique(src: Ctx) -> DataFrame:
+    return quality.unique_violations([("fact_sales line unique", src.fact,
                                        ["transaction_id", "transaction_item_id", "transaction_date_key"])])
 
 
 @query
-def audit_checks(src: SourceSet) -> DataFrame:
+def audit_checks(src: Ctx) -> DataFrame:
     return quality.check_violations([
         ("products.price >= 0", src.products, F.col("price") >= 0),
         ("transactions.total_amount >= 0", src.transactions, F.col("total_amount") >= 0),
@@ -424,8 +445,8 @@ def audit_checks(src: SourceSet) -> DataFrame:
 
 
 @query
-def audit_gross(src: SourceSet) -> DataFrame:
-    f = fact(src)
+def audit_gross(src: Ctx) -> DataFrame:
+    f = src.fact
     return quality.check_violations([
         ("fact_sales.gross_amount = quantity * unit_price", f,
          F.col("gross_amount") == F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")),
@@ -433,24 +454,24 @@ def audit_gross(src: SourceSet) -> DataFrame:
 
 
 @query
-def audit_lengths(src: SourceSet) -> DataFrame:
+def audit_lengths(src: Ctx) -> DataFrame:
     return quality.length_violations(_source_tables(src))
 
 
 @query
-def audit_fact_fk(src: SourceSet) -> DataFrame:
-    f = fact(src)
+def audit_fact_fk(src: Ctx) -> DataFrame:
+    f = src.fact
     return quality.fk_violations([
         ("fact_sales.transaction_date_key -> dim_date", f, "transaction_date_key",
-         dims.dim_date(tx_clean(src)), "date_key"),
-        ("fact_sales.customer_key -> dim_customer", f, "customer_key", customer_dim(src), "customer_key"),
-        ("fact_sales.product_key -> dim_product", f, "product_key", product_dim(src), "product_key"),
-        ("fact_sales.campaign_key -> dim_campaign", f, "campaign_key", campaign_dim(src), "campaign_key"),
+         src.date_dim, "date_key"),
+        ("fact_sales.customer_key -> dim_customer", f, "customer_key", src.customer_dim, "customer_key"),
+        ("fact_sales.product_key -> dim_product", f, "product_key", src.product_dim, "product_key"),
+        ("fact_sales.campaign_key -> dim_campaign", f, "campaign_key", src.campaign_dim, "campaign_key"),
     ])
 
 
 @query
-def audit_precision(src: SourceSet) -> DataFrame:
+def audit_precision(src: Ctx) -> DataFrame:
     items = src.transaction_items
     line = F.col("quantity").cast("decimal(10,0)") * F.col("price")
     ev = src.sale_events
@@ -463,13 +484,13 @@ def audit_precision(src: SourceSet) -> DataFrame:
 
 
 @query
-def orphan_lines(src: SourceSet) -> DataFrame:
-    return quality.orphans(src.transaction_items, tx_clean(src), "transaction_id") \
+def orphan_lines(src: Ctx) -> DataFrame:
+    return quality.orphans(src.transaction_items, src.tx_clean, "transaction_id") \
         .select("transaction_item_id", "transaction_id")
 
 
 @query
-def rejects_by_reason(src: SourceSet) -> DataFrame:
+def rejects_by_reason(src: Ctx) -> DataFrame:
     return clean.rejects_by_reason(src.customers, src.products, src.transactions,
                                    src.marketing_campaigns, AS_OF)
 
@@ -477,21 +498,21 @@ def rejects_by_reason(src: SourceSet) -> DataFrame:
 # --- star queries ------------------------------------------------------------------------------
 
 @query
-def sales_by_quarter(src: SourceSet) -> DataFrame:
-    return star.sales_by_quarter(fact(src), dims.dim_date(tx_clean(src)))
+def sales_by_quarter(src: Ctx) -> DataFrame:
+    return star.sales_by_quarter(src.fact, src.date_dim)
 
 
 @query
-def sales_by_city_category(src: SourceSet) -> DataFrame:
-    return star.sales_by_city_category(fact(src), customer_dim(src), product_dim(src))
+def sales_by_city_category(src: Ctx) -> DataFrame:
+    return star.sales_by_city_category(src.fact, src.customer_dim, src.product_dim)
 
 
 RANGE_FROM, RANGE_TO = 19960315, 19970630
 
 
 @query
-def sales_date_range(src: SourceSet) -> DataFrame:
-    return star.sales_date_range(fact(src), RANGE_FROM, RANGE_TO)
+def sales_date_range(src: Ctx) -> DataFrame:
+    return star.sales_date_range(src.fact, RANGE_FROM, RANGE_TO)
 
 
 def all_queries() -> dict[str, Query]:

@@ -128,7 +128,8 @@ def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(*LINE_ORDER)
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     joined = li.join(p, li.l_partkey == p.p_partkey).drop("p_partkey")
-    numbered = global_row_number(joined, LINE_ORDER, "_line")
+    numbered = global_row_number(joined, LINE_ORDER, "_line",
+                                 keep=["l_orderkey", "l_partkey", "l_quantity", "p_retailprice"])
     return numbered.select(
         F.col("_line").cast("int").alias("transaction_item_id"),
         F.col("l_orderkey").cast("int").alias("transaction_id"),
