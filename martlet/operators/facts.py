@@ -26,10 +26,9 @@ def join_header_lines(tx: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def lookup_key(lines: DataFrame, dim: DataFrame, business_key: str, key_col: str) -> DataFrame:
-    """Replace nothing, add ``key_col``: inner lookup by business id, so a
-    line whose member was rejected drops. The planner broadcasts the
-    dimension when its measured size is under the broadcast threshold and
-    keeps a shuffle join otherwise."""
+    """Add ``key_col`` by an inner lookup on the business id, so a line whose
+    member was rejected drops. Callers pass the dimension through
+    ``broadcast_if_small`` when it may be broadcast."""
     return lines.join(dim.select(business_key, key_col), business_key)
 
 
@@ -43,7 +42,8 @@ def with_date_key(lines: DataFrame, ts: str = "transaction_date") -> DataFrame:
 def lookup_date(lines: DataFrame, dim_date: DataFrame, ts: str = "transaction_date") -> DataFrame:
     """Inner join on differently named keys: line day -> dim_date.date_key."""
     keyed = lines.withColumn("_day_key", dates.date_key(F.col(ts)))
-    d = dim_date.select(F.col("date_key"), F.col("month_key"))
+    # One row per calendar day: bounded by the calendar, broadcast.
+    d = F.broadcast(dim_date.select(F.col("date_key"), F.col("month_key")))
     return keyed.join(d, keyed["_day_key"] == d["date_key"]).drop("_day_key")
 
 

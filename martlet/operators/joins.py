@@ -19,3 +19,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     limit = int(max_rows if max_rows is not None else df.sparkSession.conf.get(key, str(default)))
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
+
+
+def lookup_flag(df: DataFrame, ref: DataFrame, key: str, flag: str, row_id: str) -> DataFrame:
+    """``df`` plus a boolean ``flag``: true when ``key`` is present in
+    ``ref`` (NULL otherwise). Rows are never multiplied (the reference keys
+    are made distinct) nor dropped.
+
+    Broadcast when the distinct key set is under the checked bound;
+    otherwise a left join on (key, bucket) where hot keys of ``df`` are
+    spread over buckets (``row_id`` spreads them), since AQE cannot split a
+    join whose other side is an aggregate."""
+    from martlet.operators import skew
+
+    keys = ref.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    small = broadcast_if_small(keys)
+    if small is not keys:
+        return df.join(small, key, "left")
+    hot = skew.heavy_hitters(df, key)
+    return skew.salted_join(df, keys, key, hot, row_id=row_id, how="left").drop(skew.SALT)

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlet.operators.joins import broadcast_if_small
+
 # Declared column lengths of the source tables.
 VARCHAR_LIMITS = {
     "customers": {"name": 100, "email": 150, "city": 100},
@@ -87,16 +89,28 @@ def precision_violations(checks: Sequence[tuple[str, DataFrame, Column, str]]) -
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose parent key is missing (foreign-key violations)."""
-    return child.join(parent.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    """Child rows whose parent key is missing (foreign-key violations).
+
+    The missing keys are found on one row per key (child keys aggregated
+    with a map-side combine, then anti-joined to the distinct parent keys),
+    so a hot key never sits in one task; only then are the child rows of
+    the missing keys fetched, with a checked broadcast of that key set."""
+    missing = _missing_keys(child, parent, key, key)
+    return child.join(broadcast_if_small(missing.select(key)), key)
+
+
+def _missing_keys(child: DataFrame, parent: DataFrame, ckey: str, pkey: str) -> DataFrame:
+    counts = child.where(F.col(ckey).isNotNull()).groupBy(ckey).agg(F.count(F.lit(1)).alias("_rows"))
+    parents = parent.select(F.col(pkey).alias(ckey)).where(F.col(ckey).isNotNull()).distinct()
+    return counts.join(parents, ckey, "left_anti")
 
 
 def fk_violations(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """rule, n: rows of a child whose key is not in the parent."""
+    """rule, n: rows of a child whose (non-NULL) key is not in the parent,
+    counted on one row per key (skew-safe)."""
     frames = []
     for rule, child, ckey, parent, pkey in checks:
-        p = parent.select(F.col(pkey).alias(ckey)).distinct()
-        miss = child.select(ckey).join(p, ckey, "left_anti")
-        frames.append(miss.agg(F.count(F.lit(1)).cast("long").alias("n_violations"))
+        miss = _missing_keys(child, parent, ckey, pkey)
+        frames.append(miss.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_violations"))
                       .select(F.lit(rule).alias("rule"), "n_violations"))
     return _union(frames)

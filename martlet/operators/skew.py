@@ -97,11 +97,12 @@ def replicate(one: DataFrame, key: str, hot: HotKeys) -> DataFrame:
 
 
 def salted_join(many: DataFrame, one: DataFrame, key: str, hot: HotKeys,
-                row_id: str | None = None) -> DataFrame:
-    """``many`` inner-join ``one`` on ``key`` with hot keys split over
-    buckets. ``many`` may already carry the bucket column (from an earlier
-    salted join on the same key and hot list); otherwise ``row_id`` names
-    the column that spreads its rows."""
+                row_id: str | None = None, how: str = "inner") -> DataFrame:
+    """``many`` joined to ``one`` (at most one row per key) on ``key`` with
+    hot keys split over buckets; ``how`` is ``inner`` or ``left``. ``many``
+    may already carry the bucket column (from an earlier salted join on the
+    same key and hot list); otherwise ``row_id`` names the column that
+    spreads its rows."""
     if SALT not in many.columns:
         many = spread(many, key, hot, row_id)
-    return many.join(replicate(one, key, hot), [key, SALT])
+    return many.join(replicate(one, key, hot), [key, SALT], how)

@@ -14,6 +14,7 @@ from decimal import Decimal
 from martlet.functions import text as txt
 from martlet.functions.text import py_strip, strip_lower, strip_title
 from martlet.operators import clean, dims, events, facts, quality, relops
+from martlet.operators.joins import broadcast_if_small
 from martlet.operators.ordering import first_per_key
 from martlet.plans import star
 from martlet.sources.fixtures import AS_OF, SourceSet, sources
@@ -125,13 +126,13 @@ def fact_sales(src: Ctx) -> DataFrame:
 
 @query
 def lookup_customer(src: Ctx) -> DataFrame:
-    return facts.lookup_key(src.header_lines, src.customer_dim, "customer_id", "customer_key") \
+    return facts.lookup_key(src.header_lines, broadcast_if_small(src.customer_dim), "customer_id", "customer_key") \
         .select("transaction_item_id", "customer_key")
 
 
 @query
 def lookup_product(src: Ctx) -> DataFrame:
-    return facts.lookup_key(src.header_lines, src.product_dim, "product_id", "product_key") \
+    return facts.lookup_key(src.header_lines, broadcast_if_small(src.product_dim), "product_id", "product_key") \
         .select("transaction_item_id", "product_key")
 
 

@@ -66,3 +66,18 @@ def test_broadcast_only_under_checked_bound(spark):
     big = spark.range(1000)
     assert broadcast_if_small(big, 100) is big
     assert F is not None
+
+
+def test_lookup_flag_salted_fallback_keeps_every_row(spark, skew_conf):
+    from martlet.operators.joins import lookup_flag
+    ev = spark.createDataFrame([(i, 7 if i % 3 == 0 else i % 50) for i in range(3000)], "transaction_id int, customer_id int")
+    ref = spark.createDataFrame([(c,) for c in range(0, 40)] + [(7,), (7,)], "customer_id int")
+    spark.conf.set("martlet.broadcast.maxRows", "5")  # force the shuffle path
+    try:
+        out = lookup_flag(ev, ref, "customer_id", "known", row_id="transaction_id")
+        rows = out.collect()
+    finally:
+        spark.conf.unset("martlet.broadcast.maxRows")
+    assert len(rows) == 3000
+    got = {r.transaction_id: bool(r.known) for r in rows}
+    assert got == {i: (7 if i % 3 == 0 else i % 50) < 40 for i in range(3000)}
