@@ -114,3 +114,25 @@ def fk_violations(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]])
         frames.append(miss.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_violations"))
                       .select(F.lit(rule).alias("rule"), "n_violations"))
     return _union(frames)
+
+
+def fk_violations_one_pass(child: DataFrame, checks: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """Several foreign keys of one (large) child table in one pass.
+
+    Each child row is exploded into one (rule, key) pair per foreign key
+    and aggregated with a map-side combine, so the child is read once and a
+    hot key costs one row per task; the pairs are then anti-joined to the
+    parent keys tagged with the same rule. ``checks`` = (rule, child key
+    column, parent, parent key column); key values are compared as long."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.col(ckey).cast("long").alias("k"))
+        for rule, ckey, _, _ in checks
+    ]))
+    counts = (child.select(pairs.alias("_p")).select("_p.rule", "_p.k").where(F.col("k").isNotNull())
+              .groupBy("rule", "k").agg(F.count(F.lit(1)).alias("_rows")))
+    parents = _union([parent.select(F.lit(rule).alias("rule"), F.col(pkey).cast("long").alias("k"))
+                      for rule, _, parent, pkey in checks]).distinct()
+    missing = counts.join(parents, ["rule", "k"], "left_anti").groupBy("rule").agg(F.sum("_rows").alias("_n"))
+    rules = child.sparkSession.createDataFrame([(r,) for r, _, _, _ in checks], "rule string")
+    return rules.join(missing, "rule", "left").select(
+        "rule", F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_violations"))
