@@ -167,7 +167,7 @@ def clean_campaigns(df: DataFrame) -> DataFrame:
 def with_default_campaign(campaigns: DataFrame) -> DataFrame:
     """Add the default campaign row only when ``campaigns`` is empty.
 
-    Lazy: the default row is anti-joined against at most one row of the
+    Lazy: emptiness is a scalar subquery over at most one row of the
     input, so no action runs on the driver and nothing grows with the data.
     """
     spark = campaigns.sparkSession
@@ -179,9 +179,8 @@ def with_default_campaign(campaigns: DataFrame) -> DataFrame:
         F.lit(d["end_date"]).alias("end_date"),
         F.lit(d["channel"]).alias("channel"),
     )
-    any_row = campaigns.limit(1).select(F.lit(1).alias("_any"))
-    missing = default.join(any_row, how="left_anti")
-    return campaigns.unionByName(missing)
+    empty = campaigns.limit(1).select(F.count(F.lit(1))).scalar() == 0
+    return campaigns.unionByName(default.where(empty))
 
 
 # --- rejects ------------------------------------------------------------------------

@@ -125,10 +125,10 @@ def minute_counts(events: DataFrame, ts: str = "transaction_date") -> DataFrame:
 
 
 def completed_minutes(counts: DataFrame) -> DataFrame:
-    """Minutes before the latest one seen (the latest may still grow).
-    The latest minute is a one-row aggregate joined back, no driver trip."""
-    latest = counts.agg(F.max("minute").alias("_latest"))
-    return counts.join(F.broadcast(latest), F.col("minute") < F.col("_latest")).drop("_latest")
+    """Minutes before the latest one seen (the latest may still grow). The
+    latest minute is a scalar subquery (one global aggregate), no join."""
+    latest = counts.select(F.max("minute")).scalar()
+    return counts.where(F.col("minute") < latest)
 
 
 def minute_lines(counts: DataFrame) -> DataFrame:
