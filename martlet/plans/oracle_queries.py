@@ -152,10 +152,10 @@ oracle("minute_counts_completed", "SELECT * FROM minutes_done", "minutes_done")
 oracle("minute_count_lines", "SELECT minute || ' -> ' || n || ' transactions' AS line FROM minutes_done",
        "minutes_done")
 oracle("id_high_water", """
-    SELECT greatest(coalesce((SELECT MAX(transaction_id) FROM transactions), 0),
-                    coalesce((SELECT MAX(transaction_id) FROM transaction_items), 0)) AS last_id,
-           greatest(coalesce((SELECT MAX(transaction_id) FROM transactions), 0),
-                    coalesce((SELECT MAX(transaction_id) FROM transaction_items), 0)) + 1 AS next_id""",
+    SELECT CAST(greatest(coalesce((SELECT MAX(transaction_id) FROM transactions), 0),
+                         coalesce((SELECT MAX(transaction_id) FROM transaction_items), 0)) AS BIGINT) AS last_id,
+           CAST(greatest(coalesce((SELECT MAX(transaction_id) FROM transactions), 0),
+                         coalesce((SELECT MAX(transaction_id) FROM transaction_items), 0)) + 1 AS BIGINT) AS next_id""",
        "transactions", "transaction_items")
 oracle("load_summary", """
     SELECT 'dim_customer' AS table_name, COUNT(*) AS candidates, COUNT(DISTINCT customer_id) AS inserted
@@ -288,7 +288,7 @@ def _reasons(table: str, stage: str, key: str, rules: list[tuple[str, str]]) ->
         SELECT CASE {case} END AS reason FROM {stage}) WHERE reason IS NOT NULL GROUP BY reason
     UNION ALL
     SELECT '{table}', 'duplicate', n FROM (
-        SELECT SUM(c - 1) AS n FROM (SELECT COUNT(*) AS c FROM {stage}
+        SELECT CAST(SUM(c - 1) AS BIGINT) AS n FROM (SELECT COUNT(*) AS c FROM {stage}
         WHERE {' AND '.join(f'coalesce({p}, false)' for _, p in rules)} GROUP BY {key})) WHERE n > 0"""
 
 

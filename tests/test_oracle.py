@@ -11,7 +11,7 @@ from conftest import ROOT, SF_SMALL
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from compare import digest, duck  # noqa: E402
+from compare import digest, duck, type_diffs  # noqa: E402
 
 NAMES = sorted(entry.queries())
 
@@ -32,6 +32,7 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(entry.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
+    assert type_diffs(sdf, rel) == []
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows) == digest(rel.columns, drows)
 
