@@ -48,7 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     on a cluster a missing setting is an error, because a machine-local
     folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -183,7 +183,11 @@ def sale_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sources(spark: SparkSession, sf_dir: str) -> SourceSet:
     """All fixture views for ``sf_dir``; built once per application."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        app = str(id(spark))
+    key = (app, sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = SourceSet(spark, sf_dir)
     return _CACHE[key]

@@ -26,7 +26,7 @@ def counts(spark, path):
 def test_minute_counts_emit_completed_minutes_once(spark, scratch):
     inbox = os.path.join(scratch, "in")
     drop(inbox, "a.json", [ev(1, "2024-01-01 00:00:05"), ev(2, "2024-01-01 00:00:50"), "{malformed",
-                           ev(3, "2024-01-01 00:01:10")])
+                           ev(3, "2024-01-01 00:01:10"), ev(3, "2024-01-01 00:01:10")])  # replay of 3
     parsed = ingest.parse(ingest.read_json_files(spark, inbox))
     out, ck = os.path.join(scratch, "mc"), os.path.join(scratch, "ck")
     mc.start_to_table(parsed, out, ck, trigger={"availableNow": True}).awaitTermination()
@@ -63,3 +63,21 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
     # restart: nothing new arrives, nothing is written twice
     ingest.start_ingest(stream, cust, prod, out, ck, trigger={"availableNow": True}).awaitTermination()
     assert spark.read.parquet(os.path.join(out, "headers")).count() == 2
+
+
+def test_stream_minute_counts_equal_batch_query(spark, scratch):
+    """Streaming the whole topic (replays included) gives the completed
+    minutes of the batch query."""
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    from martlet.operators import events
+    from martlet.sources.fixtures import sources
+
+    src = sources(spark, SF_SMALL)
+    inbox = os.path.join(scratch, "topic")
+    events.to_payload(src.sale_events).select("payload").write.text(inbox)
+    parsed = ingest.parse(ingest.read_json_files(spark, inbox))
+    out = os.path.join(scratch, "mc")
+    mc.start_to_table(parsed, out, os.path.join(scratch, "ck"), trigger={"availableNow": True}).awaitTermination()
+    batch = entry.queries()["minute_counts_completed"](spark, SF_SMALL)
+    assert counts(spark, out) == sorted(tuple(r) for r in batch.collect())
