@@ -76,22 +76,25 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str,
     """Dense 1..n numbering of ``df`` in ``order`` (which must be total for
     a deterministic result), plus ``offset``. Distributed equivalent of
     ``row_number() over (order by ...)``. ``keep`` limits the columns
-    carried past the numbering (default: all)."""
+    carried past the numbering (default: all).
+
+    The rows per slice (one number per partition: a list bounded by the
+    partition count) are collected once; each row then adds the literal
+    start of its slice to its position, a projection with no join."""
     sliced = range_slices(df, order, num_partitions, keep)
-    counts = sliced.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per slice: bounded by the partition count, safe to broadcast.
-    starts = counts.select(
-        _PID,
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_start"),
-    )
+    n = _num_partitions(df, num_partitions)
+    sizes = [0] * n
+    for r in sliced.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n")).collect():
+        sizes[r[_PID]] = int(r["_n"])
+    starts, acc = [], 0
+    for size in sizes:
+        starts.append(acc)
+        acc += size
     off = offset if isinstance(offset, Column) else F.lit(offset)
+    start = F.element_at(F.lit(starts).cast("array<bigint>"), F.col(_PID) + 1)
     return (
-        sliced.join(F.broadcast(starts), _PID)
-        .withColumn(out, (F.col("_start") + F.col(_POS) + 1 + off))
-        .drop(_PID, _POS, "_start")
+        sliced.withColumn(out, start + F.col(_POS) + 1 + off)
+        .drop(_PID, _POS)
     )
 
 
