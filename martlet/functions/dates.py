@@ -53,8 +53,3 @@ def partition_name(mkey: Column | str) -> Column:
 def minute_label(ts: Column | str) -> Column:
     """Minute of a timestamp as text ``yyyy-MM-dd HH:mm:00``."""
     return F.date_format(F.date_trunc("minute", _c(ts)), "yyyy-MM-dd HH:mm:00")
-
-
-def days_between_keys(lo: int, hi: int) -> tuple[int, int]:
-    """Month keys covering an inclusive YYYYMMDD range (for pruning)."""
-    return lo // 100, hi // 100

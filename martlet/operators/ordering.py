@@ -135,17 +135,6 @@ def rank_in_group(df: DataFrame, partition_by: Sequence[str], order: Sequence[Co
     return ranked.withColumn(out, F.col(out).cast("int"))
 
 
-def order_key(cols: Sequence[str], nulls_last: bool = True) -> Column:
-    """A struct whose natural (ascending) order is the lexicographic order of
-    ``cols``, NULLs last when ``nulls_last``."""
-    fields = []
-    for i, c in enumerate(cols):
-        if nulls_last:
-            fields.append(F.col(c).isNull().alias(f"_n{i}"))
-        fields.append(F.col(c).alias(f"_v{i}"))
-    return F.struct(*fields)
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """Keep the first row of every key, where "first" is the ascending order
     of ``order`` (default: every non-key column in schema order), NULLs last.

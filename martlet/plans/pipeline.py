@@ -101,6 +101,7 @@ def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], war
     configure(spark)
     root = warehouse_root.rstrip("/")
     tx = clean.clean_transactions(staged["transactions"], as_of)
+    write_rejects(staged, f"{root}/rejects", as_of)
 
     summary: list[tuple[str, int, int]] = []
 
@@ -134,6 +135,20 @@ def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], war
     return spark.createDataFrame(summary, "table_name string, candidates long, inserted long")
 
 
+def write_rejects(staged: Mapping[str, DataFrame], path: str, as_of: dt.datetime) -> None:
+    """Row-level quarantine of the current snapshot: every row a cleaning
+    rule drops, with the first rule it fails, in ``rejects/<table>``
+    (replaced on every run, as the sources are full snapshots)."""
+    checks = {
+        "transactions": (clean.stage_transactions, clean.transaction_rules(as_of)),
+        "customers": (clean.stage_customers, clean.customer_rules(as_of)),
+        "products": (clean.stage_products, clean.product_rules()),
+        "marketing_campaigns": (clean.stage_campaigns, clean.campaign_rules()),
+    }
+    for table, (stage, rules) in checks.items():
+        clean.quarantine(stage(staged[table]), rules).write.mode("overwrite").parquet(f"{path}/{table}")
+
+
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], warehouse_root: str,
                  as_of: dt.datetime, run_id: str | None = None) -> DataFrame:
     """Extract (snapshot to staging, published atomically), then transform

@@ -37,6 +37,9 @@ def test_second_load_adds_nothing(spark, scratch):
     # the fact is laid out in month partitions named by month_key
     assert any(d.startswith("month_key=") for d in os.listdir(os.path.join(scratch, "fact_sales")))
     assert fact.groupBy("sales_key").count().where("count > 1").count() == 0
+    # rejected rows are kept with their reason
+    rej = spark.read.parquet(os.path.join(scratch, "rejects", "transactions"))
+    assert {r.reason for r in rej.select("reason").distinct().collect()} >= {"future_date", "bad_amount"}
 
 
 def test_split_load_equals_single_load(spark, scratch):
