@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.functions.dates import minute_label
-from martlet.operators.joins import lookup_flag
+from martlet.operators.joins import lookup_flag, lookup_flag_by_keys
 from martlet.operators.ordering import first_per_key
 from martlet.schemas import EVENT_FIELDS, EVENT_TIME_FORMAT, SALE_EVENT
 
@@ -73,17 +73,21 @@ def from_payload(df: DataFrame, text: str = "payload") -> DataFrame:
     return parsed.select(*cols, F.col(f"_e.{CORRUPT}").alias(CORRUPT))
 
 
-def validate(events: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def validate(events: DataFrame, customers: DataFrame, products: DataFrame,
+             per_batch: bool = False) -> DataFrame:
     """Every event with ``reason`` (NULL = accepted): the first failing
     check among malformed, quantity > 0, known customer, known product.
 
     The reference lookups are left joins against the distinct id sets (one
     row per id), so an event is never multiplied; see ``lookup_flag`` for
-    the broadcast check and the skew fallback."""
+    the broadcast check and the skew fallback. ``per_batch`` (streaming)
+    reads only the reference rows the batch's keys point at
+    (``lookup_flag_by_keys``)."""
     has_corrupt = CORRUPT in events.columns
     ev = events if has_corrupt else events.withColumn(CORRUPT, F.lit(None).cast("string"))
-    tagged = lookup_flag(ev, customers, "customer_id", "_known_c", row_id="transaction_id")
-    tagged = lookup_flag(tagged, products, "product_id", "_known_p", row_id="transaction_id")
+    flag = lookup_flag_by_keys if per_batch else lookup_flag
+    tagged = flag(ev, customers, "customer_id", "_known_c", row_id="transaction_id")
+    tagged = flag(tagged, products, "product_id", "_known_p", row_id="transaction_id")
     malformed = (F.col(CORRUPT).isNotNull() | F.col("transaction_id").isNull()
                  | F.col("transaction_date").isNull())
     reason = (

@@ -38,3 +38,22 @@ def lookup_flag(df: DataFrame, ref: DataFrame, key: str, flag: str, row_id: str)
         return df.join(small, key, "left")
     hot = skew.heavy_hitters(df, key)
     return skew.salted_join(df, keys, key, hot, row_id=row_id, how="left").drop(skew.SALT)
+
+
+CONF_MAX_KEYS = ("martlet.lookup.maxInlineKeys", 100_000)
+
+
+def lookup_flag_by_keys(df: DataFrame, ref: DataFrame, key: str, flag: str, row_id: str) -> DataFrame:
+    """``lookup_flag`` for a small ``df`` (a streaming micro-batch) against a
+    large, live reference table: the distinct keys of ``df`` (at most
+    ``maxInlineKeys``, checked) become a literal ``isin`` filter on the
+    reference scan, which Parquet min/max statistics can use to skip row
+    groups, so a batch reads what it references rather than the whole
+    table. Beyond the bound it falls back to ``lookup_flag``."""
+    cfg, default = CONF_MAX_KEYS
+    bound = int(df.sparkSession.conf.get(cfg, str(default)))
+    keys = [r[key] for r in df.select(key).where(F.col(key).isNotNull()).distinct().limit(bound + 1).collect()]
+    if len(keys) > bound:
+        return lookup_flag(df, ref, key, flag, row_id)
+    hits = ref.select(key).where(F.col(key).isin(keys)).distinct().withColumn(flag, F.lit(True))
+    return df.join(F.broadcast(hits), key, "left")  # at most len(keys) rows

@@ -79,7 +79,7 @@ def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products:
     """foreachBatch body: validate, split, dedupe against stored rows, write."""
     spark = batch.sparkSession
     root = out_root.rstrip("/")
-    checked = events.validate(batch, customers, products).withColumn("batch_id", F.lit(batch_id)) \
+    checked = events.validate(batch, customers, products, per_batch=True).withColumn("batch_id", F.lit(batch_id)) \
         .withColumn("event_date", F.to_date("transaction_date")).persist()
     try:
         # Days of one micro-batch: a handful of values, bounded by the

@@ -81,3 +81,18 @@ def test_lookup_flag_salted_fallback_keeps_every_row(spark, skew_conf):
     assert len(rows) == 3000
     got = {r.transaction_id: bool(r.known) for r in rows}
     assert got == {i: (7 if i % 3 == 0 else i % 50) < 40 for i in range(3000)}
+
+
+def test_lookup_flag_by_keys_matches_full_lookup(spark):
+    from martlet.operators.joins import lookup_flag, lookup_flag_by_keys
+    ev = spark.createDataFrame([(i, i % 70) for i in range(500)], "transaction_id int, customer_id int")
+    ref = spark.createDataFrame([(c,) for c in range(0, 1000, 3)], "customer_id int")
+    a = sorted(tuple(r) for r in lookup_flag_by_keys(ev, ref, "customer_id", "k", "transaction_id").collect())
+    b = sorted(tuple(r) for r in lookup_flag(ev, ref, "customer_id", "k", "transaction_id").collect())
+    assert a == b and len(a) == 500
+    spark.conf.set("martlet.lookup.maxInlineKeys", "10")  # over the bound: falls back
+    try:
+        c = sorted(tuple(r) for r in lookup_flag_by_keys(ev, ref, "customer_id", "k", "transaction_id").collect())
+    finally:
+        spark.conf.unset("martlet.lookup.maxInlineKeys")
+    assert c == b
