@@ -89,7 +89,20 @@ def read_staging(spark: SparkSession, staging_root: str) -> dict[str, DataFrame]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable table."""
+    """True when ``path`` holds a readable table.
+
+    Asks the path's Hadoop file system directly (works for any scheme the
+    cluster is configured for); a failed read attempt is the fallback where
+    that gateway is not available (Spark Connect)."""
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return False
+        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+    except Exception:  # noqa: BLE001 - no JVM gateway
+        pass
     try:
         spark.read.parquet(path).schema  # noqa: B018 - listing only, no job
         return True
