@@ -16,6 +16,7 @@ import datetime as dt
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,8 +107,16 @@ def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], war
     summary: list[tuple[str, int, int]] = []
 
     def dim(name, incoming, key, key_col, schema):
-        candidates = incoming.count()
-        inserted = load_dimension(spark, incoming, f"{root}/{name}", key, key_col, schema)
+        # The cleaned members feed the count, the range sampling and the
+        # numbering: keep them for the length of this load instead of
+        # cleaning three times (dimensions are small next to the fact; lost
+        # blocks are recomputed from their deterministic lineage).
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            candidates = incoming.count()
+            inserted = load_dimension(spark, incoming, f"{root}/{name}", key, key_col, schema)
+        finally:
+            incoming.unpersist()
         summary.append((name, candidates, inserted))
 
     dim("dim_customer", clean.clean_customers(staged["customers"], as_of),
