@@ -94,14 +94,14 @@ oracle("dedupe_by_key", first_per("transaction_id", TX_COLS, "transactions"), "t
 oracle("dedupe_full_row", "SELECT DISTINCT * FROM transactions", "transactions")
 oracle("distinct_timestamps", "SELECT DISTINCT transaction_date FROM tx_clean", "tx_clean")
 oracle("dim_upsert_new_rows", """
-    SELECT * FROM cust_clean WHERE customer_id % 2 <> 0""", "cust_clean")
+    SELECT * FROM cust_clean WHERE NOT (signup_date < TIMESTAMP '1996-01-01 00:00:00')""", "cust_clean")
 oracle("surrogate_keys", """
     SELECT customer_id, CAST(row_number() OVER (ORDER BY customer_id) AS INTEGER) AS customer_key
-    FROM cust_clean WHERE customer_id % 2 = 0
+    FROM cust_clean WHERE signup_date < TIMESTAMP '1996-01-01 00:00:00'
     UNION ALL
-    SELECT customer_id, CAST((SELECT COUNT(*) FROM cust_clean WHERE customer_id % 2 = 0)
+    SELECT customer_id, CAST((SELECT COUNT(*) FROM cust_clean WHERE signup_date < TIMESTAMP '1996-01-01 00:00:00')
                              + row_number() OVER (ORDER BY customer_id) AS INTEGER)
-    FROM cust_clean WHERE customer_id % 2 <> 0""", "cust_clean")
+    FROM cust_clean WHERE NOT (signup_date < TIMESTAMP '1996-01-01 00:00:00')""", "cust_clean")
 
 # --- events ------------------------------------------------------------------------------------
 oracle("stream_reference_data", """
