@@ -40,12 +40,6 @@ def _cols(cols: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def range_slices(df: DataFrame, order: Sequence[Column | str],
                  num_partitions: int | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted on ``order``, with the slice
@@ -53,11 +47,15 @@ def range_slices(df: DataFrame, order: Sequence[Column | str],
     (``_martlet_pos``, from 0), materialised in the checkpoint folder.
     Only the ``keep`` columns (default: all) are written there."""
     checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
     order_cols = _cols(order)
     kept = list(keep) if keep is not None else df.columns
+    # Without an explicit count AQE may merge adjacent range partitions by
+    # their measured size: still contiguous slices of the order, but a small
+    # input no longer runs hundreds of near-empty tasks.
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
     sliced = (
-        df.repartitionByRange(n, *order_cols)
+        ranged
         .sortWithinPartitions(*order_cols)
         .withColumn(_ROW, F.monotonically_increasing_id())
         .select(*kept, _ROW)
@@ -82,14 +80,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str,
     partition count) are collected once; each row then adds the literal
     start of its slice to its position, a projection with no join."""
     sliced = range_slices(df, order, num_partitions, keep)
-    n = _num_partitions(df, num_partitions)
-    sizes = [0] * n
-    for r in sliced.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n")).collect():
-        sizes[r[_PID]] = int(r["_n"])
+    sizes = {r[_PID]: int(r["_n"]) for r in
+             sliced.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n")).collect()}
     starts, acc = [], 0
-    for size in sizes:
+    for pid in range(max(sizes) + 1 if sizes else 1):
         starts.append(acc)
-        acc += size
+        acc += sizes.get(pid, 0)
     off = offset if isinstance(offset, Column) else F.lit(offset)
     start = F.element_at(F.lit(starts).cast("array<bigint>"), F.col(_PID) + 1)
     return (
