@@ -56,7 +56,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_parquet_source(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(SOURCES[table]).parquet(f"{root.rstrip('/')}/{table}")
+    """A source table stored as Parquet under ``root/table`` (extra columns,
+    such as the partition columns the stream ingest adds, are dropped)."""
+    return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}"), SOURCES[table])
 
 
 def snapshot_to_staging(spark: SparkSession, tables: Mapping[str, DataFrame], staging_root: str,

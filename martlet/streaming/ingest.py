@@ -3,8 +3,9 @@
 ``read_kafka`` / ``read_json_files`` -> ``parse`` -> ``start_ingest``:
 every micro-batch is validated against the static customer and product
 tables, rejects go to ``rejects/`` with their reason, and accepted events
-are split into ``headers/`` (one per transaction) and ``lines/`` (one per
-event).
+are split into ``transactions/`` (one header per transaction) and
+``transaction_items/`` (one line per event), in the source-table schemas, so
+the daily load reads them like any other source snapshot.
 
 Delivery: the checkpoint gives at-least-once replay of a micro-batch, and
 the sink makes it effectively once:
@@ -27,6 +28,9 @@ from martlet.session import configure
 from martlet.sources.readers import path_exists
 
 
+HEADERS, LINES, REJECTS = "transactions", "transaction_items", "rejects"
+
+
 def read_kafka(spark: SparkSession, brokers: str, topic: str,
                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
     """The sale-event topic as a stream of JSON text (``value``). Needs the
@@ -89,20 +93,20 @@ def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products:
         ok = checked.where(F.col("reason").isNull())
         heads = events.headers(ok)
         lines = events.lines(ok, keep=("transaction_date",))
-        seen_h = _stored_ids(spark, f"{root}/headers", days, batch_id)
-        seen_l = _stored_ids(spark, f"{root}/lines", days, batch_id)
+        seen_h = _stored_ids(spark, f"{root}/{HEADERS}", days, batch_id)
+        seen_l = _stored_ids(spark, f"{root}/{LINES}", days, batch_id)
         if seen_h is not None:
             heads = heads.join(seen_h, "transaction_id", "left_anti")
         if seen_l is not None:
             lines = lines.join(seen_l, "transaction_id", "left_anti")
         tag = [F.lit(batch_id).alias("batch_id")]
-        _write(heads.select("*", F.to_date("transaction_date").alias("event_date"), *tag), f"{root}/headers")
+        _write(heads.select("*", F.to_date("transaction_date").alias("event_date"), *tag), f"{root}/{HEADERS}")
         _write(lines.select("transaction_item_id", "transaction_id", "product_id", "quantity", "price",
-                                F.to_date("transaction_date").alias("event_date"), *tag), f"{root}/lines")
+                                F.to_date("transaction_date").alias("event_date"), *tag), f"{root}/{LINES}")
         rejects = checked.where(F.col("reason").isNotNull())
         cols = [c for c in rejects.columns if c not in ("event_date", "batch_id")]
         _write(rejects.select(*cols, F.coalesce("event_date", F.lit("1970-01-01").cast("date")).alias("event_date"),
-                              "batch_id"), f"{root}/rejects")
+                              "batch_id"), f"{root}/{REJECTS}")
     finally:
         checked.unpersist()
 

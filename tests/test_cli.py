@@ -24,4 +24,4 @@ def test_cli_etl_and_ingest(spark, scratch):
                                 "total_amount": 3.0}) + "\n")
     assert main(["ingest", "--files", inbox, "--reference", os.path.join(scratch, "src"), "--out",
                  os.path.join(scratch, "out"), "--checkpoint", os.path.join(scratch, "ck"), "--once"]) == 0
-    assert spark.read.parquet(os.path.join(scratch, "out", "headers")).count() == 2
+    assert spark.read.parquet(os.path.join(scratch, "out", "transactions")).count() == 2

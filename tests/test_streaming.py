@@ -53,8 +53,8 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
     out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
     stream = ingest.read_json_files(spark, inbox, max_files_per_trigger=1)
     ingest.start_ingest(stream, cust, prod, out, ck, trigger={"availableNow": True}).awaitTermination()
-    heads = spark.read.parquet(os.path.join(out, "headers"))
-    lines = spark.read.parquet(os.path.join(out, "lines"))
+    heads = spark.read.parquet(os.path.join(out, "transactions"))
+    lines = spark.read.parquet(os.path.join(out, "transaction_items"))
     rejects = spark.read.parquet(os.path.join(out, "rejects"))
     assert sorted(r.transaction_id for r in heads.collect()) == [1, 5]
     assert sorted(r.transaction_item_id for r in lines.collect()) == [1, 5]
@@ -62,7 +62,7 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
                                                            "unknown_product"]
     # restart: nothing new arrives, nothing is written twice
     ingest.start_ingest(stream, cust, prod, out, ck, trigger={"availableNow": True}).awaitTermination()
-    assert spark.read.parquet(os.path.join(out, "headers")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "transactions")).count() == 2
 
 
 def test_stream_minute_counts_equal_batch_query(spark, scratch):
