@@ -111,10 +111,16 @@ def customer_rules(as_of: dt.datetime) -> list[tuple[str, Column]]:
     ]
 
 
+def customer_candidates(df: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Distinct cleaned customer rows: what a load offers the dimension
+    (and counts as candidates); the same id may still occur twice."""
+    return stage_customers(df).where(_all(customer_rules(as_of))).dropDuplicates()
+
+
 def clean_customers(df: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Cleaned, distinct customer rows, one per customer id."""
-    passed = stage_customers(df).where(_all(customer_rules(as_of)))
-    return first_per_key(passed.dropDuplicates(), ["customer_id"])
+    """Cleaned customer rows, one per customer id (the first in full-row
+    order; removing exact duplicates first would not change it)."""
+    return first_per_key(stage_customers(df).where(_all(customer_rules(as_of))), ["customer_id"])
 
 
 # --- products ---------------------------------------------------------------------
@@ -135,9 +141,12 @@ def product_rules() -> list[tuple[str, Column]]:
     ]
 
 
+def product_candidates(df: DataFrame) -> DataFrame:
+    return stage_products(df).where(_all(product_rules())).dropDuplicates()
+
+
 def clean_products(df: DataFrame) -> DataFrame:
-    passed = stage_products(df).where(_all(product_rules()))
-    return first_per_key(passed.dropDuplicates(), ["product_id"])
+    return first_per_key(stage_products(df).where(_all(product_rules())), ["product_id"])
 
 
 # --- campaigns ----------------------------------------------------------------------
@@ -159,9 +168,12 @@ def campaign_rules() -> list[tuple[str, Column]]:
     ]
 
 
+def campaign_candidates(df: DataFrame) -> DataFrame:
+    return stage_campaigns(df).where(_all(campaign_rules())).dropDuplicates()
+
+
 def clean_campaigns(df: DataFrame) -> DataFrame:
-    passed = stage_campaigns(df).where(_all(campaign_rules()))
-    return first_per_key(passed.dropDuplicates(), ["campaign_id"])
+    return first_per_key(stage_campaigns(df).where(_all(campaign_rules())), ["campaign_id"])
 
 
 def with_default_campaign(campaigns: DataFrame) -> DataFrame:

@@ -357,9 +357,9 @@ def load_summary(src: Ctx) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("candidates"),
                       F.count_distinct(key).alias("inserted")).select(
             F.lit(name).alias("table_name"), "candidates", "inserted")
-    cust = clean.stage_customers(src.customers).where(clean._all(clean.customer_rules(AS_OF))).dropDuplicates()
-    prod = clean.stage_products(src.products).where(clean._all(clean.product_rules())).dropDuplicates()
-    camp = clean.stage_campaigns(src.marketing_campaigns).where(clean._all(clean.campaign_rules())).dropDuplicates()
+    cust = clean.customer_candidates(src.customers, AS_OF)
+    prod = clean.product_candidates(src.products)
+    camp = clean.campaign_candidates(src.marketing_campaigns)
     dates_ = dims.distinct_timestamps(src.tx_clean).select(
         "transaction_date", F.to_date("transaction_date").alias("_day"))
     f = src.fact

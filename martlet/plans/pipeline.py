@@ -119,11 +119,13 @@ def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], war
             incoming.unpersist()
         summary.append((name, candidates, inserted))
 
-    dim("dim_customer", clean.clean_customers(staged["customers"], as_of),
+    # Candidates are the distinct cleaned rows (what the load log counts);
+    # the insert keeps the first row of an id that occurs twice.
+    dim("dim_customer", clean.customer_candidates(staged["customers"], as_of),
         "customer_id", "customer_key", schemas.DIM_CUSTOMER)
-    dim("dim_product", clean.clean_products(staged["products"]),
+    dim("dim_product", clean.product_candidates(staged["products"]),
         "product_id", "product_key", schemas.DIM_PRODUCT)
-    dim("dim_campaign", clean.with_default_campaign(clean.clean_campaigns(staged["marketing_campaigns"])),
+    dim("dim_campaign", clean.with_default_campaign(clean.campaign_candidates(staged["marketing_campaigns"])),
         "campaign_id", "campaign_key", schemas.DIM_CAMPAIGN)
 
     # The reference offers one dim_date row per distinct timestamp and keeps
