@@ -12,9 +12,9 @@ the sink makes it effectively once:
 
 * output is partitioned by (``event_date``, ``batch_id``) and a batch
   overwrites only its own partitions, so a re-run replaces its own files;
-* before writing, a batch drops transaction ids already stored in the days
-  it touches by earlier batches (a replayed event inserts nothing), reading
-  only those day partitions, not the whole table.
+* before writing, a batch drops transaction ids already stored by earlier
+  batches (a replayed event inserts nothing, whatever its date), looking up
+  only its own ids (see ``_stored_ids``), not the whole table.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlet.operators import events
+from martlet.operators.joins import CONF_MAX_KEYS
 from martlet.session import configure
 from martlet.sources.readers import path_exists
 
@@ -65,12 +66,21 @@ def parse(stream: DataFrame, text: str = "value") -> DataFrame:
     return events.from_payload(stream, text)
 
 
-def _stored_ids(spark: SparkSession, path: str, days: list, batch_id: int) -> DataFrame | None:
-    if not days or not path_exists(spark, path):
+def _stored_ids(spark: SparkSession, path: str, ids: list | None, days: list, batch_id: int) -> DataFrame | None:
+    """Transaction ids already stored by earlier batches. With the batch's
+    own ids (a bounded list) the lookup covers the whole table through a
+    literal ``isin`` that Parquet statistics prune (ids grow with time);
+    without it, only the day partitions the batch touches are read."""
+    if not path_exists(spark, path):
         return None
-    stored = spark.read.parquet(path)
-    return (stored.where(F.col("event_date").isin(days) & (F.col("batch_id") < batch_id))
-            .select("transaction_id").distinct())
+    stored = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
+    if ids is not None:
+        if not ids:
+            return None
+        return stored.where(F.col("transaction_id").isin(ids)).select("transaction_id").distinct()
+    if not days:
+        return None
+    return stored.where(F.col("event_date").isin(days)).select("transaction_id").distinct()
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -93,8 +103,12 @@ def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products:
         ok = checked.where(F.col("reason").isNull())
         heads = events.headers(ok)
         lines = events.lines(ok, keep=("transaction_date",))
-        seen_h = _stored_ids(spark, f"{root}/{HEADERS}", days, batch_id)
-        seen_l = _stored_ids(spark, f"{root}/{LINES}", days, batch_id)
+        cfg, default = CONF_MAX_KEYS
+        bound = int(spark.conf.get(cfg, str(default)))
+        ids = [r[0] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
+        ids = ids if len(ids) <= bound else None
+        seen_h = _stored_ids(spark, f"{root}/{HEADERS}", ids, days, batch_id)
+        seen_l = _stored_ids(spark, f"{root}/{LINES}", ids, days, batch_id)
         if seen_h is not None:
             heads = heads.join(seen_h, "transaction_id", "left_anti")
         if seen_l is not None:

@@ -47,7 +47,9 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
     drop(inbox, "a.json", [ev(1, "2024-01-01 00:00:05"), ev(2, "2024-01-01 00:00:50", q=0),
                            "{malformed", ev(3, "2024-01-01 00:01:10", cust=99),
                            ev(4, "2024-01-01 00:01:20", prod=99), ev(1, "2024-01-01 00:00:05")])
-    drop(inbox, "b.json", [ev(1, "2024-01-01 00:00:05"), ev(5, "2024-01-02 00:00:01")])
+    drop(inbox, "b.json", [ev(5, "2024-01-02 00:00:01"),
+                           ev(1, "2024-01-05 00:00:09"),             # accepted id 1, replayed on another day
+                           ev(4, "2024-01-03 00:00:09", prod=1)])    # rejected id 4, now valid
     cust = spark.createDataFrame([(1,)], "customer_id int")
     prod = spark.createDataFrame([(1,)], "product_id int")
     out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
@@ -56,13 +58,16 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
     heads = spark.read.parquet(os.path.join(out, "transactions"))
     lines = spark.read.parquet(os.path.join(out, "transaction_items"))
     rejects = spark.read.parquet(os.path.join(out, "rejects"))
-    assert sorted(r.transaction_id for r in heads.collect()) == [1, 5]
-    assert sorted(r.transaction_item_id for r in lines.collect()) == [1, 5]
+    assert sorted(r.transaction_id for r in heads.collect()) == [1, 4, 5]
+    assert sorted(r.transaction_item_id for r in lines.collect()) == [1, 4, 5]
+    # the replay of 1 on another day is not stored again
+    assert heads.where("transaction_id = 1").count() == 1
+    assert lines.where("transaction_id = 1").count() == 1
     assert sorted(r.reason for r in rejects.collect()) == ["malformed", "quantity", "unknown_customer",
                                                            "unknown_product"]
     # restart: nothing new arrives, nothing is written twice
     ingest.start_ingest(stream, cust, prod, out, ck, trigger={"availableNow": True}).awaitTermination()
-    assert spark.read.parquet(os.path.join(out, "transactions")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "transactions")).count() == 3
 
 
 def test_stream_minute_counts_equal_batch_query(spark, scratch):
