@@ -103,10 +103,12 @@ def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products:
         ok = checked.where(F.col("reason").isNull())
         heads = events.headers(ok)
         lines = events.lines(ok, keep=("transaction_date",))
-        cfg, default = CONF_MAX_KEYS
-        bound = int(spark.conf.get(cfg, str(default)))
-        ids = [r[0] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
-        ids = ids if len(ids) <= bound else None
+        ids = None
+        if path_exists(spark, f"{root}/{HEADERS}") or path_exists(spark, f"{root}/{LINES}"):
+            cfg, default = CONF_MAX_KEYS
+            bound = int(spark.conf.get(cfg, str(default)))
+            ids = [r[0] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
+            ids = ids if len(ids) <= bound else None
         seen_h = _stored_ids(spark, f"{root}/{HEADERS}", ids, days, batch_id)
         seen_l = _stored_ids(spark, f"{root}/{LINES}", ids, days, batch_id)
         if seen_h is not None:
