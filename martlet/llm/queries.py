@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlet.llm._common import table
 
@@ -22,3 +23,42 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlet.llm.substring_dedup import substring_dedup
 
     return substring_dedup(table(spark, sf_dir, "documents"), window=20)
+
+
+@query
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm.minhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=5, threshold=0.8)
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm.line_dedup import line_dedup
+
+    out = line_dedup(table(spark, sf_dir, "documents"), host="source", ratio=0.1, min_pages=3)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op5_line_dedup"] = """
+WITH pages AS (SELECT row_number() OVER () AS page, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+total AS (SELECT source, count(*) AS n_pages FROM pages GROUP BY source),
+seen AS (SELECT source, line, count(DISTINCT page) AS n FROM
+  (SELECT page, source, unnest(lines) AS line FROM pages) WHERE trim(line) <> '' GROUP BY source, line),
+listed AS (SELECT source, list(line) AS bad FROM seen JOIN total USING (source)
+  WHERE n >= 3 AND n > CAST(0.1 AS DOUBLE) * n_pages GROUP BY source),
+kept AS (SELECT doc_id, lines, text, CASE WHEN bad IS NULL THEN lines
+  ELSE list_filter(lines, lambda x: trim(x) = '' OR NOT list_contains(bad, x)) END AS k FROM pages LEFT JOIN listed USING (source))
+SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(len(lines) - len(k), 0) AS BIGINT) AS n_dropped,
+  CASE WHEN text IS NOT NULL THEN sha256(array_to_string(k, chr(10))) END AS kept_sha256 FROM kept
+"""
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, cut=0.7).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
