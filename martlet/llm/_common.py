@@ -54,3 +54,8 @@ def arrow_schema(df: DataFrame, *drop: str):
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(df.drop(*drop).schema)
+
+
+def tokenizer(name: str) -> str:
+    """A vocabulary file of the folder ``MARTLET_TOKENIZERS`` names (/opt/tokenizers if unset)."""
+    return os.path.join(os.environ.get("MARTLET_TOKENIZERS", "/opt/tokenizers"), name)

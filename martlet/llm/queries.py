@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm._common import table
+from martlet.llm._common import table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +62,25 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model, cut=0.7).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm.decontaminate import contaminated
+
+    out = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", F.size("ends").cast("long").alias("n_matches"), "min_edits")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm import pieces
+
+    path = tokenizer("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.decode(pieces.encode(docs, path), path)
+    ids = F.coalesce("token_ids", F.array().cast("array<int>"))
+    return out.select(
+        "doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids, " "), 256).alias("ids_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
