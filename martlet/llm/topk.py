@@ -129,19 +129,17 @@ def _query_blocks(queries: DataFrame) -> DataFrame:
 def _wave(cand: DataFrame, queries: DataFrame, k: int, reach: int) -> DataFrame:
     """The k best of each query of one wave; ``reach`` bounds every score."""
     wide = max(1, -(-(2 * reach + 1) // BINS))
-    state = queries.withColumn("low", F.lit(-reach).cast("long")).withColumn("width", F.lit(wide).cast("long")).withColumn("need", F.lit(k).cast("long"))
+    state = queries.withColumn("low", F.lit(-reach).cast("long")).withColumn("width", F.lit(wide).cast("long"))
     meet = lambda s: cand.join(F.broadcast(_query_blocks(s)))  # noqa: E731 - the stated queries against all rows, in blocks
     while True:
         counts = meet(state).mapInArrow(_histogram(k), "query_id long, bin long, n long").groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
-        counts = counts.withColumn("upto", F.sum("n").over(down)).join(state.select(F.col("vec_id").alias("query_id"), "need"), "query_id")
-        # the first bin with the kth score; with fewer than k scores the lowest bin
-        kth = counts.filter(F.col("upto") - F.col("n") < F.col("need")).groupBy("query_id").agg(
-            F.min("bin").alias("bin"), F.min_by(F.col("upto") - F.col("n"), "bin").alias("over"))
+        # the first bin with the kth score; with fewer than k scores the lowest bin. Scores above the refined bin count in the last one.
+        kth = counts.withColumn("upto", F.sum("n").over(down)).filter(F.col("upto") - F.col("n") < k).groupBy("query_id").agg(F.min("bin").alias("bin"))
         state = stored(
             state.join(kth, F.col("vec_id") == F.col("query_id")).select(
                 "vec_id", "v", (F.col("low") + F.col("bin") * F.col("width")).alias("low"),
-                F.lit(max(1, -(-wide // BINS))).cast("long").alias("width"), (F.col("need") - F.col("over")).alias("need")))
+                F.lit(max(1, -(-wide // BINS))).cast("long").alias("width")))
         if wide == 1:
             break
         wide = max(1, -(-wide // BINS))
