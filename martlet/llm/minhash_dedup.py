@@ -97,8 +97,32 @@ def signatures(of: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int) ->
     return sig.reshape(n, M)
 
 
+def _keys(of: np.ndarray, code: np.ndarray, n: int) -> dict:
+    """Size and two hashes of each shingle set."""
+    edge = np.searchsorted(of, np.arange(n + 1))
+    out = {"size": pa.array(np.diff(edge).astype(np.int64))}
+    for name, salt in (("k1", 0), ("k2", 0xA5A5A5A5A5A5A5A5)):
+        total = np.concatenate([np.zeros(1, U), np.cumsum(w.mix(code ^ U(salt)), dtype=U)])
+        out[name] = pa.array((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
+    return out
+
+
+def _sets(k: int):
+    """The sorted shingles of each text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in w.pieces(batch, "text", 4 << 20):
+                of, code, _, n = shingle_sets(part.column("text"), k)
+                edge = pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_pydict({
+                    "want": part.column("want"), **_keys(of, code, n), "grams": pa.ListArray.from_arrays(edge, pa.array(code.view(np.int64)))})
+
+    return run
+
+
 def _sketches(k: int):
-    """For each text: a key of its shingle set, its shingles and its band keys."""
+    """For each text: a key of its shingle set and its band keys."""
 
     def run(batches):
         for batch in batches:
@@ -111,15 +135,8 @@ def _sketches(k: int):
                     for r in range(ROWS):
                         key = w.mix(key * w.MUL + sig[:, b * ROWS + r])
                     bands[:, b] = key
-                edge = np.searchsorted(of, np.arange(n + 1))
-                sums = np.concatenate([[0], np.cumsum(w.mix(code))]).astype(U)
-                mixed = np.concatenate([[0], np.cumsum(w.mix(code ^ U(0xA5A5A5A5A5A5A5A5)))]).astype(U)
-                ids = part.column("doc_id")
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": ids, "size": pa.array(np.diff(edge).astype(np.int64)),
-                    "k1": pa.array((sums[edge[1:]] - sums[edge[:-1]]).view(np.int64)),
-                    "k2": pa.array((mixed[edge[1:]] - mixed[edge[:-1]]).view(np.int64)),
-                    "grams": pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(code.view(np.int64))),
+                    "doc_id": part.column("doc_id"), **_keys(of, code, n),
                     "bands": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64))),
                 })
 
@@ -193,16 +210,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
     spark = docs.sparkSession
     ship(spark)
     known = docs.filter("doc_id is not null").select("doc_id", "text")
-    sketch = stored(known.mapInArrow(_sketches(shingle), "doc_id long, size long, k1 long, k2 long, grams array<long>, bands array<long>"))
+    sketch = stored(known.mapInArrow(_sketches(shingle), "doc_id long, size long, k1 long, k2 long, bands array<long>"))
     same = ["size", "k1", "k2"]
     member = stored(sketch.filter("size > 0").groupBy(*same).agg(F.min("doc_id").alias("first_id")).withColumn("gid", F.xxhash64(*same)))
-    groups = stored(
+    entries = (
         sketch.join(member.withColumnRenamed("first_id", "doc_id"), ["doc_id", *same])
-        .select("gid", "grams", "bands").dropDuplicates(["gid"])
+        .dropDuplicates(["gid"]).select("gid", F.explode("bands").alias("band"))
     )
-    entries = groups.select("gid", F.explode("bands").alias("band"))
     label = spark.createDataFrame([], "id long, part long")
     entries = _tagged(entries, label)
+    # Only the texts that share a band are read again, for their whole sets.
+    wanted = member.join(entries.select("gid").distinct(), "gid").select(F.col("first_id").alias("doc_id"), F.col("gid").alias("want"))
+    groups = (
+        known.join(stored(wanted), "doc_id").mapInArrow(_sets(shingle), "want long, size long, k1 long, k2 long, grams array<long>")
+        .filter(F.col("want") == F.xxhash64(*same)).select(F.col("want").alias("gid"), "grams")
+    )
+    groups = stored(groups.dropDuplicates(["gid"]))
     for r in range(ROUNDS + 1):
         if entries.isEmpty():
             break
