@@ -42,7 +42,9 @@ ROWS = M // BANDS
 #: Partners of one text that one task takes.
 PARTNERS = 500
 #: Rounds of hubs before the rest of the buckets.
-ROUNDS = 3
+ROUNDS = 8
+#: The rounds end early once all pairs of the rest are at most so many for each of its rows.
+REST = 8
 GRAM_BASE = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -226,15 +228,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
         .filter(F.col("want") == F.xxhash64(*same)).select(F.col("want").alias("gid"), "grams")
     )
     groups = stored(groups.dropDuplicates(["gid"]))
+    bands = sketch.join(member.withColumnRenamed("first_id", "doc_id"), ["doc_id", *same]).dropDuplicates(["gid"]).select("gid", "bands")
+    last = False
     for r in range(ROUNDS + 1):
-        if entries.isEmpty():
+        if last or entries.isEmpty():
             break
-        if r < ROUNDS:
+        rows, pairs = entries.groupBy("band").count().agg(F.sum("count"), F.sum(F.col("count") * F.col("count") / 2)).first()
+        last = r == ROUNDS or r > 0 and pairs <= REST * rows
+        if not last:
             hub = entries.groupBy("band").agg(F.min_by(F.struct("gid", "part"), F.xxhash64("gid", F.lit(r))).alias("hub"))
             pairs = entries.join(hub, "band").filter("part <> hub.part").select(F.col("gid").alias("a"), F.col("hub.gid").alias("b"))
         else:
-            other = entries.select("band", F.col("gid").alias("b"), F.col("part").alias("other"))
-            pairs = entries.join(other, "band").filter("part < other").select(F.col("gid").alias("a"), "b")
+            # Each pair comes from the first band it shares.
+            full = stored(entries.join(bands.join(entries.select("gid").distinct(), "gid"), "gid"))
+            other = full.select("band", F.col("gid").alias("b"), F.col("part").alias("other"), F.col("bands").alias("theirs"))
+            pairs = full.join(other, "band").filter((F.col("part") < F.col("other")) & (F.array_intersect("bands", "theirs")[0] == F.col("band")))
+            pairs = pairs.select(F.col("gid").alias("a"), "b")
         new = stored(verified(stored(pairs.distinct()), groups, threshold))
         if new.isEmpty():
             continue
