@@ -24,6 +24,8 @@ nothing is collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,7 +119,11 @@ def running_sum(df: DataFrame, partition_by: Sequence[str], order: Sequence[Colu
             .rowsBetween(Window.unboundedPreceding, -1)
         ).alias("_carry"),
     )
-    result = local.join(carry, [_PID, *partition_by])
+    # A null group key is a group of its own, as in a window: the join is null-safe.
+    keys = {c: f"_k_{c}" for c in [_PID, *partition_by]}
+    carry = carry.withColumnsRenamed(keys)
+    same = reduce(and_, (local[c].eqNullSafe(carry[k]) for c, k in keys.items()))
+    result = local.join(carry, same).drop(*keys.values())
     return (
         result.withColumn(out, F.coalesce(F.col("_carry"), F.lit(0)) + F.col("_local"))
         .drop(_PID, _POS, "_local", "_carry", "_martlet_v")

@@ -45,11 +45,12 @@ def read_jdbc_source(spark: SparkSession, url: str, table: str, lower: int, uppe
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to the declared schema (missing columns -> NULL)."""
+    """Select and cast to the declared schema (missing columns and values
+    that do not fit their type -> NULL, for the cleaning rules to judge)."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -29,13 +29,13 @@ def event_time(col: str = TIME) -> F.Column:
 def minute_counts(parsed: DataFrame, lateness: str = "0 seconds") -> DataFrame:
     """(minute, n) for every completed minute of a parsed event stream.
 
-    A transaction counts once, as in the producer's counter: a replayed
-    event (same transaction id) is dropped while its minute is open; the
+    Every sale counts, also two with one transaction id; a replayed event
+    (equal in all fields) is dropped while its minute is open. The
     de-duplication state expires with the watermark, so it stays bounded."""
     timed = (parsed.where(F.col(TIME).isNotNull() & F.col("transaction_id").isNotNull())
              .withColumn("_event_ts", event_time()))
     counts = (timed.withWatermark("_event_ts", lateness)
-              .dropDuplicatesWithinWatermark(["transaction_id"])
+              .dropDuplicatesWithinWatermark(parsed.columns)
               .groupBy(F.window("_event_ts", "1 minute").alias("w"))
               .agg(F.count(F.lit(1)).alias("n")))
     return counts.select(minute_label(F.col("w.start")).alias("minute"), "n")

@@ -13,14 +13,20 @@ rows = st.lists(
 )
 
 
-@settings(max_examples=4, deadline=None)
-@given(rows, st.integers(1, 7))
+null_keys = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 3), st.integers(0, 1000)),
+    min_size=1, max_size=120,
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(null_keys, st.integers(1, 7))
 def test_running_sum_equals_pandas_cumsum(spark, data, slices):
     data = [(i, k, a, v) for i, (k, a, v) in enumerate(data)]
     df = spark.createDataFrame(data, "id int, k int, a int, v int")
     got = {r.id: r.run for r in running_sum(df, ["k"], ["v", "id"], "v", "run", num_partitions=slices).collect()}
     pdf = pd.DataFrame(data, columns=["id", "k", "a", "v"]).sort_values(["k", "v", "id"])
-    pdf["run"] = pdf.groupby("k")["v"].cumsum()
+    pdf["run"] = pdf.groupby("k", dropna=False)["v"].cumsum()
     assert got == dict(zip(pdf["id"], pdf["run"]))
 
 
