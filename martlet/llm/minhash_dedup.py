@@ -14,10 +14,14 @@ candidates, and a link needs a Jaccard similarity of the shingle sets of
 
 Skew. Texts with equal shingles are one *group*, found first, so copies are
 no candidates of one another. In a bucket every member meets one hub only:
-pairs grow with the rows of the bucket, not with its square. ``ROUNDS``
-rounds take different hubs, and only members that are not yet in the hub's
-part. Members of a bucket that are still in different parts then meet the
-members of the other parts, so no link between parts is lost; within a part
+pairs grow with the rows of the bucket, not with its square. Rounds take
+different hubs, and only members that are not yet in the hub's part, until a
+round links few of its pairs. Texts with a bucket partner that is still in
+another part are the *rest*. Shingles of the rest are put in one order, the
+rare ones first; two sets of a similarity of 0.8 share a shingle among the
+first fifth of each (the prefix filter of set similarity joins, which loses
+no pair), so only texts that share such a shingle and are in different parts
+meet. Texts that have just a common passage in common do not. Within a part
 nothing is left to decide. A text with many partners is dealt to several
 tasks, as many as its number of partners asks for.
 
@@ -31,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm import _words as w
@@ -41,10 +45,10 @@ M, BANDS = 80, 20
 ROWS = M // BANDS
 #: Partners of one text that one task takes.
 PARTNERS = 500
-#: Rounds of hubs before the rest of the buckets.
+#: Rounds of hubs at most, before the rest of the buckets.
 ROUNDS = 8
-#: The rounds end early once all pairs of the rest are at most so many for each of its rows.
-REST = 8
+#: The rounds end once one links less than this share of its pairs.
+YIELD = 0.05
 GRAM_BASE = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -206,6 +210,24 @@ def _tagged(entries: DataFrame, label: DataFrame) -> DataFrame:
     return stored(tagged.join(mixed, "band"))
 
 
+def rest_pairs(entries: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts of different parts whose sets can be similar
+    enough: they share a shingle within their prefixes and fit in size."""
+    left = entries.groupBy("gid").agg(F.min("part").alias("part"))
+    grams = stored(groups.join(left, "gid").select("gid", "part", F.size("grams").alias("n"), F.explode("grams").alias("gram")))
+    # Stored, so that the planner knows its size and can split a frequent shingle.
+    shared = stored(grams.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"))
+    rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.coalesce("df", F.lit(1)), "gram"))
+    least = F.ceil(F.lit(threshold) * F.col("n") - 1e-9)
+    prefix = stored(
+        grams.join(shared, "gram", "left").withColumn("rank", rank)
+        .filter((F.col("rank") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("gid", "part", "n", "gram")
+    )
+    other = prefix.select("gram", F.col("gid").alias("b"), F.col("part").alias("other"), F.col("n").alias("m"))
+    fits = F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m") - 1e-9
+    return prefix.join(other, "gram").filter((F.col("part") < F.col("other")) & fits).select(F.col("gid").alias("a"), "b")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id and
     ``class_id``, the least doc_id of its class."""
@@ -228,27 +250,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
         .filter(F.col("want") == F.xxhash64(*same)).select(F.col("want").alias("gid"), "grams")
     )
     groups = stored(groups.dropDuplicates(["gid"]))
-    bands = sketch.join(member.withColumnRenamed("first_id", "doc_id"), ["doc_id", *same]).dropDuplicates(["gid"]).select("gid", "bands")
-    last = False
+    hubs = True
     for r in range(ROUNDS + 1):
-        if last or entries.isEmpty():
+        if entries.isEmpty():
             break
-        rows, pairs = entries.groupBy("band").count().agg(F.sum("count"), F.sum(F.col("count") * F.col("count") / 2)).first()
-        last = r == ROUNDS or r > 0 and pairs <= REST * rows
-        if not last:
+        hubs = hubs and r < ROUNDS
+        if hubs:
             hub = entries.groupBy("band").agg(F.min_by(F.struct("gid", "part"), F.xxhash64("gid", F.lit(r))).alias("hub"))
             pairs = entries.join(hub, "band").filter("part <> hub.part").select(F.col("gid").alias("a"), F.col("hub.gid").alias("b"))
         else:
-            # Each pair comes from the first band it shares.
-            full = stored(entries.join(bands.join(entries.select("gid").distinct(), "gid"), "gid"))
-            other = full.select("band", F.col("gid").alias("b"), F.col("part").alias("other"), F.col("bands").alias("theirs"))
-            pairs = full.join(other, "band").filter((F.col("part") < F.col("other")) & (F.array_intersect("bands", "theirs")[0] == F.col("band")))
-            pairs = pairs.select(F.col("gid").alias("a"), "b")
-        new = stored(verified(stored(pairs.distinct()), groups, threshold))
-        if new.isEmpty():
-            continue
-        label = parts(new.unionByName(label.select(F.col("id").alias("a"), F.col("part").alias("b"))))
-        entries = _tagged(entries.select("band", "gid"), label)
+            pairs = rest_pairs(entries, groups, threshold)
+        pairs = stored(pairs.distinct())
+        new = stored(verified(pairs, groups, threshold))
+        found = new.count()
+        if found:
+            label = parts(new.unionByName(label.select(F.col("id").alias("a"), F.col("part").alias("b"))))
+        if not hubs:
+            break
+        hubs = found >= YIELD * pairs.count()
+        if found:
+            entries = _tagged(entries.select("band", "gid"), label)
     of = member.join(label, member.gid == label.id, "left").withColumn("part", F.coalesce("part", "gid"))
     least = of.groupBy("part").agg(F.min("first_id").alias("class_id"))
     classes = stored(of.join(least, "part").select(*same, "class_id"))
