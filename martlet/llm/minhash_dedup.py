@@ -212,7 +212,8 @@ def _tagged(entries: DataFrame, label: DataFrame) -> DataFrame:
 
 def rest_pairs(entries: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of texts of different parts whose sets can be similar
-    enough: they share a shingle within their prefixes and fit in size."""
+    enough: they share a shingle within their prefixes, early enough that the
+    shingles from there on can be the overlap that they need."""
     left = entries.groupBy("gid").agg(F.min("part").alias("part"))
     grams = stored(groups.join(left, "gid").select("gid", "part", F.size("grams").alias("n"), F.explode("grams").alias("gram")))
     # Stored, so that the planner knows its size and can split a frequent shingle.
@@ -221,10 +222,10 @@ def rest_pairs(entries: DataFrame, groups: DataFrame, threshold: float) -> DataF
     least = F.ceil(F.lit(threshold) * F.col("n") - 1e-9)
     prefix = stored(
         grams.join(shared, "gram", "left").withColumn("rank", rank)
-        .filter((F.col("rank") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("gid", "part", "n", "gram")
+        .filter((F.col("rank") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("gid", "part", "gram", "n", (F.col("n") - F.col("rank") + 1).alias("tail"))
     )
-    other = prefix.select("gram", F.col("gid").alias("b"), F.col("part").alias("other"), F.col("n").alias("m"))
-    fits = F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m") - 1e-9
+    other = prefix.select("gram", F.col("gid").alias("b"), F.col("part").alias("other"), F.col("n").alias("m"), F.col("tail").alias("rest"))
+    fits = F.least("tail", "rest") >= F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("m")) - 1e-9
     return prefix.join(other, "gram").filter((F.col("part") < F.col("other")) & fits).select(F.col("gid").alias("a"), "b")
 
 
@@ -256,7 +257,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
             break
         hubs = hubs and r < ROUNDS
         if hubs:
-            hub = entries.groupBy("band").agg(F.min_by(F.struct("gid", "part"), F.xxhash64("gid", F.lit(r))).alias("hub"))
+            hub = entries.groupBy("band").agg(F.min_by(F.struct("gid", "part"), F.xxhash64("gid", "band", F.lit(r))).alias("hub"))
             pairs = entries.join(hub, "band").filter("part <> hub.part").select(F.col("gid").alias("a"), F.col("hub.gid").alias("b"))
         else:
             pairs = rest_pairs(entries, groups, threshold)
