@@ -118,7 +118,7 @@ def _sets(k: int):
 
     def run(batches):
         for batch in batches:
-            for part in w.pieces(batch, "text", 4 << 20):
+            for part in w.pieces(batch, "text", 1 << 20):
                 of, code, _, n = shingle_sets(part.column("text"), k)
                 edge = pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_pydict({
@@ -132,7 +132,7 @@ def _sketches(k: int):
 
     def run(batches):
         for batch in batches:
-            for part in w.pieces(batch, "text", 4 << 20):
+            for part in w.pieces(batch, "text", 1 << 20):
                 of, code, weight, n = shingle_sets(part.column("text"), k)
                 sig = signatures(of, code, weight, n)
                 bands = np.zeros((n, BANDS), U)
@@ -149,24 +149,6 @@ def _sketches(k: int):
     return run
 
 
-def _similar(threshold: float):
-    """Keep the pairs whose shingle lists (sorted) are similar enough."""
-
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            ga, gb = batch.column("ga"), batch.column("gb")
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = ga[i].values.to_numpy().view(U), gb[i].values.to_numpy().view(U)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep[i] = both >= threshold * (len(x) + len(y) - both)
-            mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
-
-    return run
-
-
 def verified(pairs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of groups whose sets are similar enough. The set of a ``b``
     with many partners is sent to several tasks."""
@@ -177,7 +159,8 @@ def verified(pairs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame
     right = sets.join(slices, F.col("gid") == F.col("b")).select("b", F.col("grams").alias("gb"), F.explode(F.sequence(F.lit(0), "n")).alias("slice"))
     met = left.join(sets.select(F.col("gid").alias("a"), F.col("grams").alias("ga")), "a").join(right, ["b", "slice"])
     short, long = F.least(F.size("ga"), F.size("gb")), F.greatest(F.size("ga"), F.size("gb"))
-    return met.filter(short >= threshold * long).select("a", "b", "ga", "gb").mapInArrow(_similar(threshold), "a long, b long")
+    both = F.size(F.array_intersect("ga", "gb"))  # a set has a shingle once
+    return met.filter((short >= threshold * long) & (both >= threshold * (short + long - both))).select("a", "b")
 
 
 def _mark(edges: DataFrame) -> tuple:
