@@ -16,7 +16,7 @@ from martlet.schemas import EVENT_FIELDS, EVENT_TIME_FORMAT, SALE_EVENT
 CORRUPT = "_corrupt_record"
 
 # Reasons an event is refused, checked in this order.
-REASONS = ("malformed", "quantity", "unknown_customer", "unknown_product")
+REASONS = ("malformed", "missing_field", "quantity", "price", "total_amount", "unknown_customer", "unknown_product")
 
 
 def event_amount(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
@@ -76,7 +76,8 @@ def from_payload(df: DataFrame, text: str = "payload") -> DataFrame:
 def validate(events: DataFrame, customers: DataFrame, products: DataFrame,
              per_batch: bool = False) -> DataFrame:
     """Every event with ``reason`` (NULL = accepted): the first failing
-    check among malformed, quantity > 0, known customer, known product.
+    check among malformed, a missing field, quantity > 0, price and total
+    not negative, known customer, known product.
 
     The reference lookups are left joins against the distinct id sets (one
     row per id), so an event is never multiplied; see ``lookup_flag`` for
@@ -90,9 +91,15 @@ def validate(events: DataFrame, customers: DataFrame, products: DataFrame,
     tagged = flag(tagged, products, "product_id", "_known_p", row_id="transaction_id")
     malformed = (F.col(CORRUPT).isNotNull() | F.col("transaction_id").isNull()
                  | F.col("transaction_date").isNull())
+    missing = F.lit(False)
+    for name in EVENT_FIELDS:
+        missing = missing | F.col(name).isNull()
     reason = (
         F.when(malformed, "malformed")
-        .when(~F.coalesce(F.col("quantity") > 0, F.lit(False)), "quantity")
+        .when(missing, "missing_field")
+        .when(~(F.col("quantity") > 0), "quantity")
+        .when(F.col("price") < 0, "price")
+        .when(F.col("total_amount") < 0, "total_amount")
         .when(F.col("_known_c").isNull(), "unknown_customer")
         .when(F.col("_known_p").isNull(), "unknown_product")
     )
@@ -108,18 +115,27 @@ def rejected(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("reason").isNotNull())
 
 
+HEADER_FIELDS = ["customer_id", "transaction_date", "total_amount"]
+
+
 def headers(accepted_events: DataFrame) -> DataFrame:
     """One header per transaction id (a replay inserts nothing)."""
-    cols = ["transaction_id", "customer_id", "transaction_date", "total_amount"]
-    return first_per_key(accepted_events.select(*cols), ["transaction_id"])
+    return first_per_key(accepted_events.select("transaction_id", *HEADER_FIELDS), ["transaction_id"])
+
+
+def event_line_id() -> Column:
+    """The line id of an event: a positive 64-bit hash of all its fields, so
+    a replay maps to the same line and another sale to another one."""
+    content = F.sha2(F.to_json(F.struct(*EVENT_FIELDS), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}), 256)
+    return F.conv(F.substring(content, 1, 15), 16, 10).cast("long")
 
 
 def lines(accepted_events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One line per event. An event is a one-line sale, so the line takes
-    the event's key as its line id: replays map to the same line."""
+    """One line per distinct event: sales that share a transaction id each
+    keep their line, an event equal in all fields is a replay."""
     cols = ["transaction_id", "product_id", "quantity", "price"]
-    first = first_per_key(accepted_events.select(*cols, *keep), ["transaction_id"], order=cols[1:])
-    return first.select(F.col("transaction_id").alias("transaction_item_id"), *cols, *keep)
+    distinct = accepted_events.select(*EVENT_FIELDS).distinct()
+    return distinct.select(event_line_id().alias("transaction_item_id"), *cols, *keep)
 
 
 def minute_counts(events: DataFrame, ts: str = "transaction_date") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martlet.functions import dates, money
 from martlet.operators import skew
 from martlet.operators.joins import broadcast_if_small
-from martlet.schemas import FACT_COLUMNS, FACT_LINE_KEY
+from martlet.schemas import FACT_COLUMNS, FACT_LINE_KEY, SALES_KEY
 
 DEFAULT_CAMPAIGN_KEY = 1
 
@@ -110,13 +110,13 @@ def build_fact(tx_clean: DataFrame, items: DataFrame, dim_customer: DataFrame,
 def with_partition_columns(fact: DataFrame) -> DataFrame:
     """``month_key`` (partition column) and a stable ``sales_key``.
 
-    The key packs (day key, line id) into one long: unique because the line
-    id is unique in its source and the day key is part of the line's
-    identity, and stable across reruns, with no global coordination."""
-    return fact.withColumn(
-        "sales_key",
-        F.shiftleft(F.col("transaction_date_key").cast("long"), 31) + F.col("transaction_item_id").cast("long"),
-    ).withColumn("month_key", dates.month_key("transaction_date_key"))
+    The key is the day key followed by the 19 digits of the line id: unique
+    because the line id is unique in its source and the day key is part of
+    the line's identity, and stable across reruns, with no global
+    coordination."""
+    day = F.col("transaction_date_key").cast("decimal(8,0)") * F.lit(str(10 ** 19)).cast("decimal(20,0)")
+    key = day + F.col("transaction_item_id").cast("decimal(19,0)")
+    return fact.withColumn("sales_key", key.cast(SALES_KEY)).withColumn("month_key", dates.month_key("transaction_date_key"))
 
 
 def new_lines(fact: DataFrame, existing: DataFrame, keys: Sequence[str] = FACT_LINE_KEY) -> DataFrame:

@@ -72,7 +72,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "transaction_items": ([], """
         SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
                     l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-                    l_shipdate) AS INTEGER) AS transaction_item_id,
+                    l_shipdate) AS BIGINT) AS transaction_item_id,
                CAST(l_orderkey AS INTEGER) AS transaction_id, CAST(l_partkey AS INTEGER) AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity, CAST(p_retailprice AS DECIMAL(10,2)) AS price
         FROM lineitem JOIN part ON l_partkey = p_partkey"""),

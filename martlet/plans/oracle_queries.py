@@ -124,7 +124,12 @@ oracle("event_amounts", """
     SELECT transaction_id, CAST(round(price * quantity, 2) AS DECIMAL(12,2)) AS total_amount
     FROM sale_events""", "sale_events")
 CTES["ev_checked"] = (["sale_events", "customers", "products"], """
-    SELECT e.*, CASE WHEN NOT coalesce(e.quantity > 0, false) THEN 'quantity'
+    SELECT e.*, CASE WHEN e.transaction_id IS NULL OR e.transaction_date IS NULL THEN 'malformed'
+                     WHEN e.customer_id IS NULL OR e.product_id IS NULL OR e.quantity IS NULL
+                          OR e.price IS NULL OR e.total_amount IS NULL THEN 'missing_field'
+                     WHEN NOT e.quantity > 0 THEN 'quantity'
+                     WHEN e.price < 0 THEN 'price'
+                     WHEN e.total_amount < 0 THEN 'total_amount'
                      WHEN e.customer_id NOT IN (SELECT customer_id FROM customers WHERE customer_id IS NOT NULL)
                           OR e.customer_id IS NULL THEN 'unknown_customer'
                      WHEN e.product_id NOT IN (SELECT product_id FROM products WHERE product_id IS NOT NULL)
@@ -138,9 +143,7 @@ oracle("stream_rejects", "SELECT transaction_id, reason FROM ev_checked WHERE re
        "ev_checked")
 oracle("stream_headers", first_per("transaction_id", ["customer_id", "transaction_date", "total_amount"],
                                    "ev_ok"), "ev_ok")
-oracle("stream_lines", """
-    SELECT transaction_id AS transaction_item_id, transaction_id, product_id, quantity, price
-    FROM (""" + first_per("transaction_id", ["product_id", "quantity", "price"], "ev_ok") + ")", "ev_ok")
+oracle("stream_lines", "SELECT DISTINCT * FROM ev_ok", "ev_ok")
 CTES["minutes"] = (["produced_events"], """
     SELECT strftime(date_trunc('minute', transaction_date), '%Y-%m-%d %H:%M:00') AS minute,
            COUNT(*) AS n

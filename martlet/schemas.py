@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 MONEY10 = T.DecimalType(10, 2)
 MONEY12 = T.DecimalType(12, 2)
+SALES_KEY = T.DecimalType(38, 0)
 
 
 def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -20,7 +21,7 @@ PRODUCTS = _s(("product_id", T.IntegerType()), ("product_name", T.StringType()),
               ("category", T.StringType()), ("price", MONEY10))
 TRANSACTIONS = _s(("transaction_id", T.IntegerType()), ("customer_id", T.IntegerType()),
                   ("transaction_date", T.TimestampNTZType()), ("total_amount", MONEY12))
-TRANSACTION_ITEMS = _s(("transaction_item_id", T.IntegerType()),
+TRANSACTION_ITEMS = _s(("transaction_item_id", T.LongType()),
                        ("transaction_id", T.IntegerType()), ("product_id", T.IntegerType()),
                        ("quantity", T.IntegerType()), ("price", MONEY10))
 MARKETING_CAMPAIGNS = _s(("campaign_id", T.IntegerType()), ("campaign_name", T.StringType()),
@@ -60,10 +61,10 @@ FACT_COLUMNS = [
     "gross_amount", "net_amount", "tax_amount", "total_amount", "cost_amount",
     "profit_amount", "item_count", "avg_item_price",
 ]
-FACT_SALES = _s(("sales_key", T.LongType()),
+FACT_SALES = _s(("sales_key", SALES_KEY),
                 ("transaction_date_key", T.IntegerType()), ("customer_key", T.IntegerType()),
                 ("product_key", T.IntegerType()), ("campaign_key", T.IntegerType()),
-                ("transaction_id", T.IntegerType()), ("transaction_item_id", T.IntegerType()),
+                ("transaction_id", T.IntegerType()), ("transaction_item_id", T.LongType()),
                 ("quantity", T.IntegerType()), ("unit_price", MONEY10),
                 ("gross_amount", MONEY12), ("net_amount", MONEY12), ("tax_amount", MONEY12),
                 ("total_amount", MONEY12), ("cost_amount", MONEY12), ("profit_amount", MONEY12),

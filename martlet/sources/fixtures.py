@@ -131,7 +131,7 @@ def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = global_row_number(joined, LINE_ORDER, "_line",
                                  keep=["l_orderkey", "l_partkey", "l_quantity", "p_retailprice"])
     return numbered.select(
-        F.col("_line").cast("int").alias("transaction_item_id"),
+        F.col("_line").cast("long").alias("transaction_item_id"),
         F.col("l_orderkey").cast("int").alias("transaction_id"),
         F.col("l_partkey").cast("int").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),

@@ -10,11 +10,14 @@ the daily load reads them like any other source snapshot.
 Delivery: the checkpoint gives at-least-once replay of a micro-batch, and
 the sink makes it effectively once:
 
-* output is partitioned by (``event_date``, ``batch_id``) and a batch
-  overwrites only its own partitions, so a re-run replaces its own files;
-* before writing, a batch drops transaction ids already stored by earlier
-  batches (a replayed event inserts nothing, whatever its date), looking up
-  only its own ids (see ``_stored_ids``), not the whole table.
+* output is partitioned by (``event_date``, ``query_id``, ``batch_id``) and
+  a batch overwrites only its own partitions, so a re-run replaces its own
+  files and a query with a new checkpoint (its ids start at 0 again)
+  replaces nothing of an older one;
+* before writing, a batch drops the headers and lines that anything but this
+  very batch has stored, on whatever day. Line ids hash the event, so a
+  replayed event inserts nothing and another sale of a known transaction id
+  still gets its line. Its header stays the first one stored.
 """
 
 from __future__ import annotations
@@ -24,12 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlet.operators import events
-from martlet.operators.joins import CONF_MAX_KEYS
 from martlet.session import configure
 from martlet.sources.readers import path_exists
 
 
 HEADERS, LINES, REJECTS = "transactions", "transaction_items", "rejects"
+TAGS = ("event_date", "query_id", "batch_id")
 
 
 def read_kafka(spark: SparkSession, brokers: str, topic: str,
@@ -66,67 +69,54 @@ def parse(stream: DataFrame, text: str = "value") -> DataFrame:
     return events.from_payload(stream, text)
 
 
-def _stored_ids(spark: SparkSession, path: str, ids: list | None, days: list, batch_id: int) -> DataFrame | None:
-    """Transaction ids already stored by earlier batches. With the batch's
-    own ids (a bounded list) the lookup covers the whole table through a
-    literal ``isin`` that Parquet statistics prune (ids grow with time);
-    without it, only the day partitions the batch touches are read."""
+def _unstored(df: DataFrame, path: str, keys: list[str], query_id: str, batch_id: int) -> DataFrame:
+    """Rows of ``df`` whose key nothing but this very batch has stored.
+
+    The range of the batch's transaction ids (one row) lets Parquet
+    statistics skip what cannot match; both sides of the join have it, so
+    the answer does not depend on it."""
+    spark = df.sparkSession
     if not path_exists(spark, path):
-        return None
-    stored = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
-    if ids is not None:
-        if not ids:
-            return None
-        return stored.where(F.col("transaction_id").isin(ids)).select("transaction_id").distinct()
-    if not days:
-        return None
-    return stored.where(F.col("event_date").isin(days)).select("transaction_id").distinct()
+        return df
+    low, high = df.agg(F.min("transaction_id"), F.max("transaction_id")).first()
+    if low is None:
+        return df
+    own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
+    stored = spark.read.parquet(path).where(~own & F.col("transaction_id").between(low, high)).select(*keys)
+    return df.join(stored, keys, "left_anti")
 
 
 def _write(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_date", "batch_id").parquet(path))
+     .partitionBy(*TAGS).parquet(path))
 
 
 def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products: DataFrame,
-                out_root: str) -> None:
-    """foreachBatch body: validate, split, dedupe against stored rows, write."""
-    spark = batch.sparkSession
+                out_root: str, query_id: str = "batch") -> None:
+    """foreachBatch body: validate, split, drop what is stored, write."""
     root = out_root.rstrip("/")
-    checked = events.validate(batch, customers, products, per_batch=True).withColumn("batch_id", F.lit(batch_id)) \
-        .withColumn("event_date", F.to_date("transaction_date")).persist()
+    tag = [F.lit(query_id).alias("query_id"), F.lit(batch_id).alias("batch_id")]
+    day = F.coalesce(F.to_date("transaction_date"), F.lit("1970-01-01").cast("date")).alias("event_date")
+    checked = events.validate(batch, customers, products, per_batch=True).persist()
     try:
-        # Days of one micro-batch: a handful of values, bounded by the
-        # trigger interval, not by the table.
-        days = [r["event_date"] for r in checked.where(F.col("event_date").isNotNull())
-                .select("event_date").distinct().collect()]
         ok = checked.where(F.col("reason").isNull())
-        heads = events.headers(ok)
-        lines = events.lines(ok, keep=("transaction_date",))
-        ids = None
-        if path_exists(spark, f"{root}/{HEADERS}") or path_exists(spark, f"{root}/{LINES}"):
-            cfg, default = CONF_MAX_KEYS
-            bound = int(spark.conf.get(cfg, str(default)))
-            ids = [r[0] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
-            ids = ids if len(ids) <= bound else None
-        seen_h = _stored_ids(spark, f"{root}/{HEADERS}", ids, days, batch_id)
-        seen_l = _stored_ids(spark, f"{root}/{LINES}", ids, days, batch_id)
-        if seen_h is not None:
-            heads = heads.join(seen_h, "transaction_id", "left_anti")
-        if seen_l is not None:
-            lines = lines.join(seen_l, "transaction_id", "left_anti")
-        tag = [F.lit(batch_id).alias("batch_id")]
-        _write(heads.select("*", F.to_date("transaction_date").alias("event_date"), *tag), f"{root}/{HEADERS}")
+        heads = _unstored(events.headers(ok), f"{root}/{HEADERS}", ["transaction_id"], query_id, batch_id)
+        lines = _unstored(events.lines(ok, keep=("transaction_date",)), f"{root}/{LINES}",
+                          ["transaction_id", "transaction_item_id"], query_id, batch_id)
+        _write(heads.select("*", day, *tag), f"{root}/{HEADERS}")
         _write(lines.select("transaction_item_id", "transaction_id", "product_id", "quantity", "price",
-                                F.to_date("transaction_date").alias("event_date"), *tag), f"{root}/{LINES}")
-        rejects = checked.where(F.col("reason").isNotNull())
-        cols = [c for c in rejects.columns if c not in ("event_date", "batch_id")]
-        _write(rejects.select(*cols, F.coalesce("event_date", F.lit("1970-01-01").cast("date")).alias("event_date"),
-                              "batch_id"), f"{root}/{REJECTS}")
+                            day, *tag), f"{root}/{LINES}")
+        _write(checked.where(F.col("reason").isNotNull()).select("*", day, *tag), f"{root}/{REJECTS}")
     finally:
         checked.unpersist()
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in the checkpoint of a streaming query; it
+    outlives restarts and is new for a new checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def start_ingest(stream: DataFrame, customers: DataFrame, products: DataFrame, out_root: str,
                  checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Run the ingest: ``stream`` is raw JSON text in ``value``."""
@@ -134,7 +124,8 @@ def start_ingest(stream: DataFrame, customers: DataFrame, products: DataFrame, o
     events.require_reference_data(customers, products)
     parsed = parse(stream)
     writer = (parsed.writeStream
-              .foreachBatch(lambda df, bid: split_batch(df, bid, customers, products, out_root))
+              .foreachBatch(lambda df, bid: split_batch(df, bid, customers, products, out_root,
+                                                        _query_id(df.sparkSession, checkpoint)))
               .option("checkpointLocation", checkpoint))
     if trigger:
         writer = writer.trigger(**trigger)

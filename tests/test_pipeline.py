@@ -103,3 +103,13 @@ def test_staging_pointer_switches_after_all_tables(spark, scratch):
     assert current_run(spark, staging) == "r2"
     staged = read_staging(spark, staging)
     assert set(staged) == set(SOURCE_TABLES) and staged["transactions"].count() == 1
+
+
+def test_line_ids_above_31_bits_get_unique_sales_keys(spark):
+    from martlet.operators.facts import with_partition_columns
+
+    ids = [1, 2**31 + 5, 2**40, 2**63 - 1]
+    rows = spark.createDataFrame([(day, i) for day in (20240131, 20240201) for i in ids],
+                                 "transaction_date_key int, transaction_item_id long")
+    keys = [r.sales_key for r in with_partition_columns(rows).collect()]
+    assert None not in keys and len(set(keys)) == len(keys)

@@ -48,7 +48,8 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
                            "{malformed", ev(3, "2024-01-01 00:01:10", cust=99),
                            ev(4, "2024-01-01 00:01:20", prod=99), ev(1, "2024-01-01 00:00:05")])
     drop(inbox, "b.json", [ev(5, "2024-01-02 00:00:01"),
-                           ev(1, "2024-01-05 00:00:09"),             # accepted id 1, replayed on another day
+                           ev(1, "2024-01-01 00:00:05"),             # id 1 replayed in a later batch
+                           ev(1, "2024-01-05 00:00:09"),             # another sale with id 1
                            ev(4, "2024-01-03 00:00:09", prod=1)])    # rejected id 4, now valid
     cust = spark.createDataFrame([(1,)], "customer_id int")
     prod = spark.createDataFrame([(1,)], "product_id int")
@@ -59,10 +60,10 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
     lines = spark.read.parquet(os.path.join(out, "transaction_items"))
     rejects = spark.read.parquet(os.path.join(out, "rejects"))
     assert sorted(r.transaction_id for r in heads.collect()) == [1, 4, 5]
-    assert sorted(r.transaction_item_id for r in lines.collect()) == [1, 4, 5]
-    # the replay of 1 on another day is not stored again
+    # the replay of 1 is not stored again, the other sale with that id has its line
+    assert sorted(r.transaction_id for r in lines.collect()) == [1, 1, 4, 5]
+    assert lines.select("transaction_item_id").distinct().count() == 4
     assert heads.where("transaction_id = 1").count() == 1
-    assert lines.where("transaction_id = 1").count() == 1
     assert sorted(r.reason for r in rejects.collect()) == ["malformed", "quantity", "unknown_customer",
                                                            "unknown_product"]
     # restart: nothing new arrives, nothing is written twice
@@ -70,6 +71,38 @@ def test_ingest_split_dedupes_replays_and_quarantines(spark, scratch):
     assert spark.read.parquet(os.path.join(out, "transactions")).count() == 3
 
 
+def split(spark, out, texts, batch_id, query_id):
+    cust = spark.createDataFrame([(1,)], "customer_id int")
+    prod = spark.createDataFrame([(1,), (2,)], "product_id int")
+    batch = ingest.parse(spark.createDataFrame([(t,) for t in texts], "value string"))
+    ingest.split_batch(batch, batch_id, cust, prod, out, query_id)
+
+
+def stored_ids(spark, out, table):
+    return sorted(r.transaction_id for r in spark.read.parquet(os.path.join(out, table)).collect())
+
+
+def test_batches_of_other_queries_are_kept_and_searched(spark, scratch):
+    out = os.path.join(scratch, "out")
+    split(spark, out, [ev(1, "2024-01-01 00:00:05")], 5, "q1")
+    split(spark, out, [ev(1, "2024-01-01 00:00:05"), ev(2, "2024-01-01 00:00:06")], 0, "q2")  # a new checkpoint
+    assert stored_ids(spark, out, "transactions") == [1, 2]
+    split(spark, out, [ev(1, "2024-01-01 00:00:05"), ev(2, "2024-01-01 00:00:06")], 0, "q2")  # the batch runs again
+    assert stored_ids(spark, out, "transactions") == stored_ids(spark, out, "transaction_items") == [1, 2]
+
+
+def test_sales_of_one_id_keep_their_lines_and_bad_money_is_refused(spark, scratch):
+    out = os.path.join(scratch, "out")
+    t = "2024-01-01 00:00:05"
+    no_total = json.dumps({"transaction_id": 9, "customer_id": 1, "product_id": 1, "quantity": 1, "price": 1.0,
+                           "transaction_date": t})
+    split(spark, out, [ev(1, t, prod=1), ev(1, t, prod=2), ev(1, t, prod=2), ev(7, t, price=-9.5), no_total], 0, "q")
+    assert stored_ids(spark, out, "transactions") == [1]
+    assert stored_ids(spark, out, "transaction_items") == [1, 1]
+    rejects = spark.read.parquet(os.path.join(out, "rejects"))
+    assert sorted((r.transaction_id, r.reason) for r in rejects.collect()) == [(7, "price"), (9, "missing_field")]
+
+
 def test_stream_minute_counts_equal_batch_query(spark, scratch):
     """Streaming the whole topic (replays included) gives the completed
     minutes of the batch query."""
