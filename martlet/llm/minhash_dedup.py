@@ -1,10 +1,11 @@
 """MinHash near-dedup with ProbMinHash signatures.
 
-Texts are weighted sets of word shingles (a shingle of n occurrences weighs
-1 + log2 n). ProbMinHash: each element sends a Poisson process of arrivals
-at the rate of its weight, each at a random one of ``M`` registers; a
-register keeps the element that comes first. Two signatures agree in a
-register with the probability Jaccard of the sets. An element stops as soon
+Texts are sets of word shingles, each of weight 1 however often it occurs, as
+in the similarity that decides on a link. ProbMinHash: each element sends a
+Poisson process of arrivals at the rate of its weight, each at a random one
+of ``M`` registers; a register keeps the element that comes first. Two
+signatures agree in a register with the probability Jaccard of the weights,
+here the Jaccard similarity of the sets. An element stops as soon
 as its next arrival is later than every register's, so a text costs about
 (elements + M log M) arrivals.
 
@@ -54,7 +55,7 @@ U = np.uint64
 
 
 def shingle_sets(col, k: int):
-    """(text, shingle, weight) of all texts, sorted; texts of fewer than k
+    """(text, shingle) of all texts, sorted, each once; texts of fewer than k
     words have one shingle of all their words."""
     buf, offsets = w.text_bytes(col)
     starts, ends, rows = w.word_spans(buf, offsets)
@@ -73,9 +74,7 @@ def shingle_sets(col, k: int):
     of, code = of[order], code[order]
     new = np.ones(len(of), bool)
     new[1:] = (of[1:] != of[:-1]) | (code[1:] != code[:-1])
-    at = np.flatnonzero(new)
-    times = np.diff(np.append(at, len(of)))
-    return of[at], code[at], 1 + np.log2(times), n
+    return of[new], code[new], n
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -119,7 +118,7 @@ def _sets(k: int):
     def run(batches):
         for batch in batches:
             for part in w.pieces(batch, "text", 1 << 20):
-                of, code, _, n = shingle_sets(part.column("text"), k)
+                of, code, n = shingle_sets(part.column("text"), k)
                 edge = pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_pydict({
                     "want": part.column("want"), **_keys(of, code, n), "grams": pa.ListArray.from_arrays(edge, pa.array(code.view(np.int64)))})
@@ -133,8 +132,8 @@ def _sketches(k: int):
     def run(batches):
         for batch in batches:
             for part in w.pieces(batch, "text", 1 << 20):
-                of, code, weight, n = shingle_sets(part.column("text"), k)
-                sig = signatures(of, code, weight, n)
+                of, code, n = shingle_sets(part.column("text"), k)
+                sig = signatures(of, code, np.ones(len(of)), n)
                 bands = np.zeros((n, BANDS), U)
                 for b in range(BANDS):
                     key = np.full(n, U(b + 1))
