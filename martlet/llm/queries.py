@@ -36,7 +36,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlet.llm.line_dedup import line_dedup
 
-    out = line_dedup(table(spark, sf_dir, "documents"), host="source", ratio=0.1, min_pages=3)
+    out = line_dedup(table(spark, sf_dir, "documents"), host="source", ratio=0.1, min_pages=3, each_row=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
