@@ -37,8 +37,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    """Documents that hold no benchmark passage, of an item with an id or without."""
+    items = table(spark, sf_dir, "benchmark").withColumn("item_id", F.coalesce("item_id", F.lit(-1)))
+    found = decontaminate.contaminated(docs, items).select("doc_id").distinct()
     return docs.join(stored(found), "doc_id", "left_anti").select(*docs.columns)
 
 

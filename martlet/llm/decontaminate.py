@@ -9,13 +9,17 @@ that reach the bound stay, and a banded alignment gives the real edit
 distance of the window to the text there.
 
 Both sides are compared in lower case with each run of white space as one
-space. Benchmark texts of under ``SHORTEST`` characters are too common to
-mark a text and are not searched. The benchmark is sent to the tasks in
-blocks of at most ``BLOCK_CHARS`` characters, with one pass over the texts
-for each block; the texts are never shuffled.
-
-Cases: null and empty texts and benchmark texts match nothing; repeated rows
-are judged alike; with an empty table on either side there is no match.
+space. Benchmark texts of under ``SHORTEST`` characters are searched without
+edits: from Q characters on by their q-grams, shorter ones as exact stretches
+that do not begin or end inside a word (characters of scripts without spaces
+are words of their own). The benchmark is sent to the tasks in blocks of at
+most ``BLOCK_CHARS`` characters, with one pass over the texts for each block;
+the texts are never shuffled.
+
+Cases: null and empty texts and benchmark texts match nothing; a benchmark
+text without an item_id has no key to report and is left out (the pipeline
+gives it one); repeated rows are judged alike; with an empty table on either
+side there is no match.
 """
 
 from __future__ import annotations
@@ -45,8 +49,20 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def grams(chars: np.ndarray) -> np.ndarray:
-    return w.gram_hashes(w.mix(chars.astype(U) * w.MUL + U(1)), Q, BASE)
+def grams(chars: np.ndarray, q: int = Q) -> np.ndarray:
+    return w.gram_hashes(w.mix(chars.astype(U) * w.MUL + U(1)), q, BASE)
+
+
+def allowed(size):
+    """Edits allowed in a window of ``size`` characters."""
+    return size // PER_EDIT * (size >= SHORTEST)
+
+
+def _joins(char: int) -> bool:
+    """Whether a character can be part of a longer word."""
+    spaceless = 0x0E00 <= char < 0x0F00 or 0x1000 <= char < 0x10A0 or 0x1780 <= char < 0x1800 or 0x3040 <= char < 0x3100 \
+        or 0x3400 <= char < 0xA000 or 0xF900 <= char < 0xFB00 or 0x20000 <= char < 0x33480
+    return not spaceless and (chr(char).isalnum() or char == ord("_"))
 
 
 class Windows:
@@ -54,9 +70,13 @@ class Windows:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.item, self.text = [], []
+        tiny: dict[int, list] = {}
         for item, text in items:
-            t = normal(text)
-            if item is None or len(t) < SHORTEST:
+            t = normal(text).replace("\0", " ").strip()
+            if item is None or not t:
+                continue
+            if len(t) < Q:
+                tiny.setdefault(len(t), []).append((item, codes(t)))
                 continue
             last = max(0, len(t) - WINDOW)
             for a in sorted({*range(0, last, STRIDE), last}):
@@ -64,7 +84,7 @@ class Windows:
                 self.text.append(codes(t[a : a + WINDOW]))
         self.item = np.array(self.item, np.int64)
         self.size = np.array([len(t) for t in self.text], np.int64)
-        self.edits = self.size // PER_EDIT
+        self.edits = allowed(self.size)
         self.need = self.size + 1 - Q * (self.edits + 1)
         found = [grams(t) for t in self.text]
         gram = np.concatenate(found) if found else np.zeros(0, U)
@@ -76,6 +96,30 @@ class Windows:
         self.first = np.append(self.first, len(gram))
         self.map = np.zeros(1 << MAP_BITS, bool)
         self.map[self.gram >> U(64 - MAP_BITS)] = True
+        self.tiny = {}
+        for m, some in tiny.items():
+            code = np.concatenate([grams(t, m) for _, t in some])
+            order = np.argsort(code, kind="stable")
+            self.tiny[m] = code[order], [some[k] for k in order]
+
+    def stretches(self, chars: np.ndarray):
+        """(item, last position) of the texts of under Q characters."""
+        out = []
+        for m, (code, some) in self.tiny.items():
+            g = grams(chars, m)
+            first = np.searchsorted(code, g)
+            for p in np.flatnonzero(code[np.minimum(first, len(code) - 1)] == g).tolist():
+                end = p + m
+                if p and _joins(int(chars[p - 1])) and _joins(int(chars[p])):
+                    continue
+                if end < len(chars) and _joins(int(chars[end - 1])) and _joins(int(chars[end])):
+                    continue
+                k = int(first[p])
+                while k < len(code) and code[k] == g[p]:
+                    if np.array_equal(some[k][1], chars[p:end]):
+                        out.append((some[k][0], end - 1))
+                    k += 1
+        return out
 
     def hits(self, chars: np.ndarray):
         """(window, diagonal) of every q-gram shared with ``chars``."""
@@ -104,16 +148,17 @@ class Windows:
 
     def matches(self, chars: np.ndarray, row_of: np.ndarray):
         """(row, item, position, edits) of the verified regions; ``row_of`` maps a position to its text."""
+        exact = np.array(self.stretches(chars), np.int64).reshape(-1, 2)
+        out = [[row_of[exact[:, 1]]], [exact[:, 0]], [exact[:, 1]], [np.zeros(len(exact), np.int64)]]
         if not len(self.gram) or len(chars) < Q:
-            return [np.zeros(0, np.int64)] * 4
+            return [x[0] for x in out]
         win, low, width = self.regions(chars)
-        out = [[], [], [], []]
         for m in np.unique(self.size[win]):
             group = np.flatnonzero(self.size[win] == m)
             for a in range(0, len(group), 4096):
                 part = group[a : a + 4096]
                 v = win[part]
-                e = int(m) // PER_EDIT
+                e = int(allowed(m))
                 cols = int(m) + 2 * (2 * e + 1) + 2 * e
                 at = low[part] - e
                 place = at[:, None] + np.arange(cols)
@@ -124,7 +169,7 @@ class Windows:
                 where = np.clip(at[good] + end[good], 0, len(chars) - 1)
                 for o, x in zip(out, (row_of[where], self.item[v[good]], where, least[good]), strict=True):
                     o.append(x)
-        return [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
+        return [np.concatenate(o) for o in out]
 
 
 def align(pattern: np.ndarray, region: np.ndarray):
