@@ -18,8 +18,11 @@ from martlet.session import checkpoint_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; all of them
+    where the labels teach no classifier (none is usable, or one class only)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    if isinstance(model, float):
+        return docs
     return quality.score(docs, model, cut=0.7).filter("predicted = 1").select(*docs.columns)
 
 
