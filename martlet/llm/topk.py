@@ -13,8 +13,12 @@ own kth score is below the global one too. It likewise sends at most k
 scores above the kth value and k ties of a query, so equal vectors in any
 number add k rows for a block.
 
-Cases: vectors that are null, empty, of another length than most, or hold a
-null or non-finite component take no part; neither do null ids. Repeated
+Vectors of different lengths meet as if the shorter one had zeros at its end
+(as in the SQL of op6): the product runs over the components that both have.
+A block holds vectors of one length, so nothing is padded.
+
+Cases: vectors that are null, empty, or hold a null or non-finite component
+take no part (the SQL leaves out the same ones); neither do null ids. Repeated
 ids are candidates each, and a query that is repeated counts once; a row
 with the query's id is never its candidate. Scores must fit 64 bits.
 """
@@ -42,11 +46,19 @@ def integers(vectors: DataFrame, scale: int) -> DataFrame:
     return ok.select(F.col("vec_id").cast("long"), F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long")).alias("v"))
 
 
+def _alike(batch, rows: int):
+    """``batch`` in slices of at most ``rows`` vectors, all of one length."""
+    size = batch.column("v").value_lengths().to_numpy()
+    for m in np.unique(size):
+        part = batch.take(pa.array(np.flatnonzero(size == m)))
+        for a in range(0, part.num_rows, rows):
+            yield part.slice(a, rows)
+
+
 def _blocks(rows: int):
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, rows):
-                part = batch.slice(a, rows)
+            for part in _alike(batch, rows):
                 yield pa.RecordBatch.from_pydict({
                     "n": pa.array([part.num_rows], pa.int64()), "ids": pa.array([part.column("vec_id").to_numpy().tobytes()], pa.binary()),
                     "matrix": pa.array([part.column("v").flatten().to_numpy().tobytes()], pa.binary())})
@@ -59,7 +71,9 @@ def blocks(rows: DataFrame, size: int = BLOCK_ROWS) -> DataFrame:
 
 
 def product(c: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact integer products; through doubles only where those are exact."""
+    """Exact integer products over the common components; through doubles only where those are exact."""
+    both = min(c.shape[1], q.shape[1])
+    c, q = c[:, :both], q[:, :both]
     top = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * c.shape[1]
     return (c.astype(float) @ q.T.astype(float)).astype(np.int64) if top < 2.0**53 else c @ q.T
 
@@ -116,8 +130,7 @@ def _query_blocks(queries: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
+            for part in _alike(batch, 256):
                 pack = lambda c: pa.array([c.to_numpy().tobytes()], pa.binary())
                 yield pa.RecordBatch.from_pydict({
                     "q_ids": pack(part.column("vec_id")), "q_matrix": pack(part.column("v").flatten()),
@@ -153,21 +166,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     (same columns): query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     ship(spark)
-    size = F.size("embedding").alias("dim")
-    dims = vectors.filter(F.size("embedding") > 0).groupBy(size).count().orderBy(F.desc("count"), "dim").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if dims is None:
-        return empty
-    same = F.size("embedding") == dims["dim"]
-    rows = integers(vectors.filter(same), scale)
+    rows = integers(vectors, scale)
     cand = stored(blocks(rows))
-    asked = stored(integers(queries.filter(same), scale).dropDuplicates(["vec_id"]))
-    largest = lambda d: d.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
-    a, b, n = largest(rows), largest(asked), asked.count()
+    asked = stored(integers(queries, scale).dropDuplicates(["vec_id"]))
+    sizes = lambda d: d.agg(F.max(F.array_max(F.transform("v", F.abs))), F.max(F.size("v")), F.sum(F.size("v").cast("long"))).first()
+    (a, long, _), (b, wide, total) = sizes(rows), sizes(asked)
     if a is None or b is None:
         return empty
-    reach = min(int(a) * int(b) * int(dims["dim"]) + 1, 2**61)
-    waves = int(n * 8 * dims["dim"] // WAVE_BYTES) + 1
+    reach = min(int(a) * int(b) * min(long, wide) + 1, 2**61)
+    waves = int(total * 8 // WAVE_BYTES) + 1
     out = empty
     for k_ in range(waves):
         out = out.unionByName(_wave(cand, asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == k_), k, reach))
