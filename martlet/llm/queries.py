@@ -155,3 +155,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlet.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=150, epochs=2).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op13_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2 * CAST(sum(size) AS BIGINT) AS cap,
+  [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+r AS (SELECT *, 150 * CAST(sum(source_size) OVER () AS BIGINT) - 100 * CAST(coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
+  CAST(sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS others FROM s),
+f AS (SELECT *, cap * 100 * others <= w * rest AS full_up FROM r),
+o AS (SELECT arg_max(rest, others) AS rest, max(others) AS others FROM f WHERE NOT full_up),
+t AS (SELECT source, source_size, CASE WHEN full_up THEN CAST(cap AS DOUBLE) ELSE CAST(w * o.rest AS DOUBLE) / CAST(100 * o.others AS DOUBLE) END AS target,
+  CASE WHEN full_up THEN cap ELSE (w * o.rest) // (100 * o.others) END AS budget FROM f, o),
+p AS (SELECT doc_id, size, source_size, target, budget, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS whole,
+  CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS LAST, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST(whole * size + greatest(0, least(size, budget - whole * source_size - before)) AS BIGINT) AS taken FROM p
+"""
