@@ -215,3 +215,28 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORD
   FROM (SELECT * FROM pairs UNION ALL SELECT * FROM overs))
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLE["op12_lexical_search"] = r"""
+WITH cut AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+d AS (SELECT n, doc_id, terms, CAST(len(terms) AS BIGINT) AS len FROM cut WHERE len(terms) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(len) AS BIGINT) AS total FROM d),
+t AS (SELECT n, term, count(*) AS tf FROM (SELECT n, unnest(terms) AS term FROM d) GROUP BY n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+items AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+q AS (SELECT i, item_id, term, count(*) AS repeats FROM (SELECT i, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+score AS (SELECT q.i, q.item_id, d.doc_id, d.n,
+  CAST(sum(q.repeats * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * d.len * s.docs) // s.total)))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN d ON d.n = t.n, s GROUP BY q.i, q.item_id, d.doc_id, d.n),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
