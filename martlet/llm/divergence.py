@@ -2,9 +2,10 @@ r"""Source divergence audit: how the words of a source differ from the others.
 
 Method: single-pass in-memory indexing. A task counts the terms of its
 documents in a dictionary until that is full, writes it out as a run sorted by
-(lang, term, source) and starts anew. The runs meet in hash shards of (lang,
-term); the shard's external sort merges its runs, and one pass over the
-merged rows sums equal keys to frequencies. A last pass streams the postings
+(lang, term), each term with its postings (source, occurrences, documents),
+and starts anew. The runs meet in hash shards of (lang, term); the shard's
+external sort merges its runs, and one pass over the merged rows sums the
+postings of equal terms to frequencies. A last pass streams the postings
 of each term and corrects, for each pair of sources that both hold it, a sum
 that was formed as if they didn't.
 
@@ -24,9 +25,9 @@ ordered pair of sources of a lang; nothing larger than that is built.
 
 All numbers are whole; products that may pass 64 bits are decimals.
 
-Bounds: a task holds one dictionary (``BLOCK`` bytes), or one term's sources.
-A common term sends one row for each dictionary and source, so no text is
-counted in one place. Joins on lang alone go by (lang, salt).
+Bounds: a task holds one dictionary (``BLOCK`` bytes) and its run, or an Arrow
+batch of postings and one term's sources. A common term sends one row for each
+dictionary, so no text is counted in one place. Joins on lang alone go by (lang, salt).
 
 Cases: null text, lang and source count as ''; a group without terms has its
 rows in part ``pair`` (values 0 where V is 0) and none in part ``term``; a
@@ -53,22 +54,46 @@ BLOCK, ENTRY = 24 << 20, 250
 #: Pairs of a term's sources expanded at a time, and sums kept in a task.
 PAIRS, SUMS = 1 << 18, 1 << 17
 SALT = 16
-RUN = "lang string, source string, term string, n long, docs long"
+RUN = "lang string, term string, source array<string>, n array<long>, docs array<long>"
 FREQ = "lang string, source string, term string, n long, lang_n long, first int"
 CORR = "lang string, a string, b string, c long, corr long"
 
 
+def _whole(now: pa.Table, column: str) -> pa.Array:
+    return pa.concat_arrays(now.column(column).chunks)
+
+
+def _starts(now: pa.Table, columns: list[str]) -> np.ndarray:
+    """Where a row differs from the one before in one of ``columns``."""
+    new = np.zeros(now.num_rows, bool)
+    new[:1] = True
+    for c in columns:
+        col = _whole(now, c)
+        new[1:] |= pc.not_equal(col.slice(1), col.slice(0, len(col) - 1)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _posted(keys: pa.Table, offsets: np.ndarray, source, n, docs) -> pa.Table:
+    """Rows (lang, term, source[], n[], docs[]) of the (lang, term) in ``keys``."""
+    lists = lambda v: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), v)
+    return pa.table({"lang": _whole(keys, "lang"), "term": _whole(keys, "term"), "source": lists(source), "n": lists(n), "docs": lists(docs)})
+
+
 # ---- runs -------------------------------------------------------------------
 
 
 def _run(block: dict) -> pa.RecordBatch:
-    """A dictionary as a run sorted by (lang, term, source)."""
-    keys = sorted((lang, term, source) for (lang, source), (n, _) in block.items() for term in n)
-    n = [block[lang, source][0][term] for lang, term, source in keys]
-    docs = [block[lang, source][1][term] for lang, term, source in keys]
-    column = lambda i: pa.array([k[i] for k in keys], pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_pydict({
-        "lang": column(0), "source": column(2), "term": column(1), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
+    """A dictionary as a run sorted by (lang, term): one row a term with its sources."""
+    parts = []
+    for (lang, source), (n, docs) in block.items():
+        size = len(n)
+        parts.append(pa.table({
+            "lang": pa.repeat(pa.scalar(lang.decode()), size), "term": pa.array(n, pa.binary()).cast(pa.string()),
+            "source": pa.repeat(pa.scalar(source.decode()), size), "n": pa.array(n.values(), pa.int64()),
+            "docs": pa.array(map(docs.__getitem__, n), pa.int64(), size=size)}))
+    flat = pa.concat_tables(parts).combine_chunks().sort_by([("lang", "ascending"), ("term", "ascending")])
+    at = _starts(flat, ["lang", "term"])
+    return _posted(flat.take(pa.array(at)), np.append(at, flat.num_rows), *(_whole(flat, c) for c in ("source", "n", "docs"))).to_batches()[0]
 
 
 def _runs(limit: int):
@@ -82,22 +107,22 @@ def _runs(limit: int):
                 n, docs = block.setdefault(group, (Counter(), Counter()))
                 seen: set[bytes] = set()
                 for words in terms(text, keep):
-                    own = set(words)
-                    fresh = own.difference(n)
-                    full += ENTRY * len(fresh) + sum(map(len, fresh))
+                    own, had = set(words), len(n)
                     n.update(words)
+                    full += ENTRY * (len(n) - had) + (sum(map(len, own)) if len(n) > had else 0)
                     seen |= own
                 docs.update(seen)
                 if full > limit:
                     yield _run(block)
                     block, full = {}, 0
-        yield _run(block)
+        if full:
+            yield _run(block)
 
     return run
 
 
 def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Term-sorted runs: (lang, source, term, n occurrences, docs)."""
+    """Term-sorted runs: (lang, term) with its sources, occurrences and documents."""
     ship(docs.sparkSession)
     blank = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     return docs.select(blank("lang"), blank("source"), blank("text")).mapInArrow(_runs(block), RUN)
@@ -106,16 +131,6 @@ def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 # ---- merge ------------------------------------------------------------------
 
 
-def _starts(table_: pa.Table, columns: list[str]) -> np.ndarray:
-    """Where a row differs from the one before in one of ``columns``."""
-    new = np.zeros(table_.num_rows, bool)
-    new[:1] = True
-    for c in columns:
-        col = table_.column(c)
-        new[1:] |= pc.not_equal(col.slice(1), col.slice(0, len(col) - 1)).to_numpy()
-    return np.flatnonzero(new)
-
-
 def _whole_terms(batches, shrink=None):
     """Tables of whole (lang, term) groups from sorted batches; the last group
     of a batch waits for the next, shrunk by ``shrink``."""
@@ -136,24 +151,37 @@ def _whole_terms(batches, shrink=None):
 
 
 def _summed(now: pa.Table) -> pa.Table:
-    """Rows of one (lang, term, source) as one."""
-    at = _starts(now, ["lang", "term", "source"])
-    out = now.take(pa.array(at))
-    for c in ("n", "docs"):
-        out = out.set_column(out.column_names.index(c), c, pa.array(np.add.reduceat(now.column(c).to_numpy(), at)))
-    return out
+    """One row for each (lang, term), one entry for each of its sources."""
+    at = _starts(now, ["lang", "term"])
+    source, n, docs = (_whole(now, c) for c in ("source", "n", "docs"))
+    term = np.repeat(np.arange(len(at)), np.diff(np.append(at, now.num_rows)))
+    term = np.repeat(term, source.value_lengths().to_numpy())
+    named = source.flatten().dictionary_encode()
+    key = term * max(1, len(named.dictionary)) + named.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    add = lambda v: pa.array(np.add.reduceat(v.flatten().to_numpy()[order], first))
+    size = np.bincount(term[order][first], minlength=len(at))
+    return _posted(now.take(pa.array(at)), np.concatenate([[0], np.cumsum(size)]), named.dictionary.take(named.indices.take(pa.array(order[first]))), add(n), add(docs))
 
 
 def _merge(min_docs: int):
     def run(batches):
         for now in _whole_terms(batches, _summed):
-            at = _starts(now, ["lang", "term"])
-            size = np.diff(np.append(at, now.num_rows))
-            docs, total = (np.add.reduceat(now.column(c).to_numpy(), at) for c in ("docs", "n"))
-            first = np.zeros(now.num_rows, np.int32)
+            docs = _whole(now, "docs")
+            total = np.add.reduceat(docs.flatten().to_numpy(), docs.offsets.to_numpy()[:-1] - docs.offsets[0].as_py())
+            now = now.filter(pa.array(total >= min_docs))
+            if not now.num_rows:
+                continue
+            source, n = _whole(now, "source"), _whole(now, "n").flatten()
+            size = source.value_lengths().to_numpy()
+            at = np.cumsum(size) - size
+            of = pa.array(np.repeat(np.arange(len(size)), size))
+            first = np.zeros(len(n), np.int32)
             first[at] = 1
-            out = now.drop_columns("docs").append_column("lang_n", pa.array(np.repeat(total, size))).append_column("first", pa.array(first))
-            yield from out.filter(pa.array(np.repeat(docs >= min_docs, size))).to_batches()
+            yield pa.RecordBatch.from_pydict({
+                "lang": _whole(now, "lang").take(of), "source": source.flatten(), "term": _whole(now, "term").take(of), "n": n,
+                "lang_n": pa.array(np.repeat(np.add.reduceat(n.to_numpy(), at), size)), "first": pa.array(first)})
 
     return run
 
@@ -161,7 +189,7 @@ def _merge(min_docs: int):
 def frequencies(docs: DataFrame, min_docs: int = 10, block: int = BLOCK) -> DataFrame:
     """Kept terms of each group: (lang, source, term, n, lang_n, first);
     ``first`` is 1 on one row of each (lang, term)."""
-    merged = runs(docs, block).repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+    merged = runs(docs, block).repartition("lang", "term").sortWithinPartitions("lang", "term")
     return stored(merged.mapInArrow(_merge(min_docs), FREQ))
 
 

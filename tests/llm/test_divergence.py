@@ -85,6 +85,8 @@ def test_many_sources_and_flushed_sums(spark, monkeypatch):
 def test_no_rows_and_no_kept_terms(spark):
     df = frame(spark, corpus())
     assert audit(df.limit(0)).collect() == []
+    blank = audit(frame(spark, [(1, None, "x", "p"), (2, " 1", "x", None)])).select("source", "item", "value", "rank").collect()
+    assert sorted(map(tuple, blank)) == [("", "p", 0, 1), ("p", "", 0, 1)]
     few = audit(frame(spark, [(1, "a", "x", "p"), (2, "b", "x", "q")])).select("source", "item", "value", "rank").collect()
     assert sorted(map(tuple, few)) == [("p", "q", 0, 1), ("q", "p", 0, 1)]
 
