@@ -50,7 +50,7 @@ from martlet.llm._common import ship, stored
 from martlet.llm._terms import rows, table, terms
 
 #: Bytes of a task's dictionary, by an estimate of ENTRY bytes an entry beside its term.
-BLOCK, ENTRY = 24 << 20, 250
+BLOCK, ENTRY = 64 << 20, 250
 #: Pairs of a term's sources expanded at a time, and sums kept in a task.
 PAIRS, SUMS = 1 << 18, 1 << 17
 SALT = 16
