@@ -11,7 +11,7 @@ the tasks that score.
 
 Cases: null and empty texts are one passage without words and get a score;
 null labels are left out, repeated labels of a document count as their
-smallest; with no label of one class every score is the share of label 1
+smallest, and of several texts of one doc_id the least is learnt from; with no label of one class every score is the share of label 1
 (0.5 without labels). Repeated rows are scored alike.
 """
 
@@ -27,6 +27,8 @@ from martlet.llm import _words as w
 from martlet.llm._common import ship
 
 PASSAGE = 100
+#: Bytes of text whose features a task holds at a time.
+SLICE = 1 << 20
 PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _CLASS = np.zeros(256, np.int64)  # 0: bytes of other characters
 _CLASS[ord("a") : ord("z") + 1] = 1
@@ -78,7 +80,7 @@ def passages(col) -> tuple[np.ndarray, np.ndarray]:
 
 def _feature_rows(batches):
     for batch in batches:
-        for part in w.pieces(batch, "text"):
+        for part in w.pieces(batch, "text", SLICE):
             x, of = passages(part.column("text"))
             rows = np.searchsorted(of, np.arange(part.num_rows + 1))
             values = pa.array(x.ravel())
@@ -161,8 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 4000) -> Network |
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     )
     rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .mapInArrow(_feature_rows, "doc_id long, y int, x array<float>").dropDuplicates(["doc_id"]).toArrow()
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+        .mapInArrow(_feature_rows, "doc_id long, y int, x array<float>").toArrow()
     )
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable") if rows.num_rows else []
     xs = rows.column("x").combine_chunks() if rows.num_rows else []
@@ -177,7 +179,7 @@ def score(docs: DataFrame, model: Network | float, cut: float = 0.7) -> DataFram
 
     def run(batches):
         for batch in batches:
-            for part in w.pieces(batch, "text"):
+            for part in w.pieces(batch, "text", SLICE):
                 if isinstance(model, float):
                     y = np.full(part.num_rows, model)
                 else:
