@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The texts of a batch are cut before each run of spaces into *units*; no
-piece of the model crosses such a cut, so equal units are encoded once. The
-distinct units are concatenated and a suffix array over them is built by
+The texts of a slice are cut before each run of spaces into *units*; no
+piece of the model crosses such a cut, so equal units are encoded once and a
+task keeps the ids of those it has met, up to a bound. The new distinct units are concatenated and a suffix array over them is built by
 prefix doubling. Every piece is binary-searched for the range of its
 occurrences; these are the edges (position, length, piece), sorted by
 position. The edges are then relaxed in the order of the model: in each unit
@@ -16,18 +16,21 @@ Decoding joins the pieces' bytes; the first space is the model's own.
 Cases: a null text has null ids and decodes to null, an empty one has no
 ids. U+2581 is the model's space and decodes as a space. Units of over
 ``LONG`` characters are relaxed with a heap, so one very long unit takes
-n log n steps. Columns called ``token_ids`` or ``decoded`` are replaced.
+n log n steps. Columns called ``token_ids``,
+``decoded`` or (with ``verify``) ``round_trip`` are replaced. Ids of no piece
+decode to nothing.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from martlet.llm import _words as w
 from martlet.llm._common import ship
@@ -35,6 +38,8 @@ from martlet.llm._common import ship
 LONG = 100
 UNIT = re.compile("▁+[^▁]*|[^▁]+")
 PACK = 7  # bytes of one key in base 257
+#: Bytes of text a task takes at a time, and of the units it keeps.
+SLICE, KNOWN = 1 << 20, 32 << 20
 
 
 def load(path: str) -> list[tuple[int, bytes, float]]:
@@ -101,6 +106,7 @@ class Encoder:
         self.size = np.array([len(p[1]) for p in pieces], np.int64)
         self.score = np.array([p[2] for p in pieces], np.float64)
         self.bytes = np.array(bytes_, np.int64)
+        self.forget()
         self.depth = int(self.size.max())
         self.columns = -(-self.depth // PACK)
         wide = np.array([p[1].ljust(self.columns * PACK, b"\0") for p in pieces], f"S{self.columns * PACK}").view(np.uint8)
@@ -230,38 +236,87 @@ class Encoder:
         return start[keep], np.array(size)[keep]
 
     def encode(self, texts: list[str | None]):
-        """Ids of all texts in one array, and where each text's begin."""
-        seen: dict[str, int] = {}
+        """Ids of all texts in one array, and where each text's begin. Units
+        stay known from call to call, until they take ``KNOWN`` bytes."""
+        seen = self.known
         rows = [[seen.setdefault(u, len(seen)) for u in UNIT.findall("▁" + t.replace(" ", "▁"))] if t else [] for t in texts]
-        ids, first = self.units([u.encode("utf-8", "replace") for u in seen])
+        fresh = [u.encode("utf-8", "replace") for u in islice(seen, len(self.first) - 1, None)]
+        if fresh:
+            ids, first = self.units(fresh)
+            self.first = np.concatenate([self.first, len(self.ids) + first[1:]])
+            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+            self.held += sum(map(len, fresh)) * 6 + len(fresh) * 200
         flat = np.fromiter((u for r in rows for u in r), np.int64)
-        n = first[flat + 1] - first[flat]
+        n = self.first[flat + 1] - self.first[flat]
         total = np.concatenate([[0], np.cumsum(n)])
-        out = ids[np.arange(total[-1]) - np.repeat(total[:-1] - first[flat], n)]
-        return out, total[np.cumsum([0, *map(len, rows)])]
+        out = self.ids[np.arange(total[-1]) - np.repeat(total[:-1] - self.first[flat], n)]
+        at = total[np.cumsum([0, *map(len, rows)])]
+        if self.held > KNOWN:
+            self.forget()
+        return out, at
 
+    def forget(self):
+        self.known: dict[str, int] = {}
+        self.ids, self.first, self.held = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
 
-def _tasks(model):
+
+class Decoder:
+    def __init__(self, pieces: list[tuple[int, bytes, float]], bytes_: list[int]):
+        text = {i: p.replace("▁".encode(), b" ") for i, p, _ in pieces} | {i: bytes([b]) for b, i in enumerate(bytes_)}
+        self.n = max(text) + 1
+        parts = [text.get(i, b"") for i in range(self.n + 1)]  # the last one is empty, for ids of no piece
+        self.size = np.array([len(t) for t in parts], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
+        """The texts of the ids between neighbours of ``at``."""
+        ids = np.where((ids >= 0) & (ids < self.n), ids, self.n)
+        n = self.size[ids]
+        total = np.concatenate([[0], np.cumsum(n)])
+        data = self.flat[np.arange(total[-1]) - np.repeat(total[:-1] - self.at[ids], n)].tobytes()
+        ends = total[at].tolist()
+        return [data[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _tasks(model, verify: bool):
     def run(batches):
-        encoder = Encoder(*model.value)
+        encoder, decoder = Encoder(*model.value), Decoder(*model.value)
         for batch in batches:
-            for part in w.pieces(batch, "text", 4 << 20):
+            for part in w.pieces(batch, "text", SLICE):
                 texts = part.column("text").to_pylist()
                 ids, at = encoder.encode(texts)
                 null = pa.array([t is None for t in texts])
-                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=null)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "token_ids"])
+                columns = [*part.columns, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=null)]
+                names = [*part.schema.names, "token_ids"]
+                if verify:
+                    columns.append(pa.array([t is None or t == d for t, d in zip(texts, decoder.decode(ids, at), strict=True)]))
+                    names.append("round_trip")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """``docs`` with the ids of ``text`` as ``token_ids``."""
+def encode(docs: DataFrame, model_path: str, verify: bool = False) -> DataFrame:
+    """``docs`` with the ids of ``text`` as ``token_ids``. With ``verify`` the
+    task decodes them again: ``round_trip`` says that this gave the text."""
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.drop("token_ids")
+    docs = docs.drop("token_ids", *["round_trip"] * verify)
     model = spark.sparkContext.broadcast((load(model_path), byte_ids(model_path)))
-    return docs.mapInArrow(_tasks(model), StructType([*docs.schema.fields, StructField("token_ids", ArrayType(IntegerType()))]))
+    more = [StructField("token_ids", ArrayType(IntegerType()))] + [StructField("round_trip", BooleanType())] * verify
+    return docs.mapInArrow(_tasks(model, verify), StructType([*docs.schema.fields, *more]))
+
+
+def _by_ids(batch: pa.RecordBatch):
+    """``batch`` in slices of at most SLICE / 4 ids (or one row)."""
+    size = np.asarray(batch.column("token_ids").value_lengths().fill_null(0), np.int64)
+    total = np.concatenate([[0], np.cumsum(size)])
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(total, total[i] + SLICE // 4, side="right")) - 1)
+        yield batch.slice(i, j - i), total[i : j + 1] - total[i]
+        i = j
 
 
 def decode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -269,15 +324,15 @@ def decode(docs: DataFrame, model_path: str) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.drop("decoded")
-    table = {i: p.replace("▁".encode(), b" ") for i, p, _ in load(model_path)}
-    table |= {i: bytes([b]) for b, i in enumerate(byte_ids(model_path))}
-    sent = spark.sparkContext.broadcast(table)
+    model = spark.sparkContext.broadcast((load(model_path), byte_ids(model_path)))
 
     def run(batches):
-        of = sent.value
-        text = lambda ids: b"".join([of.get(i, b"") for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+        decoder = Decoder(*model.value)
         for batch in batches:
-            out = [None if ids is None else text(ids) for ids in batch.column("token_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
+            for part, at in _by_ids(batch):
+                lists = part.column("token_ids")
+                out = decoder.decode(lists.flatten().fill_null(-1).to_numpy(), at)
+                text = pa.array(out, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*part.schema.names, "decoded"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("decoded", StringType())]))
