@@ -67,9 +67,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids; ``round_trip`` says that they decode to the text."""
-    path = tokenizer("piece_bpe_32k.model")
-    out = pieces.decode(pieces.encode(docs, path), path)
-    return out.withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+    return pieces.encode(docs, tokenizer("piece_bpe_32k.model"), verify=True)
 
 
 STAGES = [
