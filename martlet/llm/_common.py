@@ -49,6 +49,17 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spent(*tables: DataFrame) -> None:
+    """Delete the files of ``stored`` tables that no later result reads."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {os.path.dirname(f) for f in df.inputFiles()}:
+            if not os.path.basename(path).startswith("martlet-"):
+                raise ValueError(f"not a stored table: {path}")
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def arrow_schema(df: DataFrame, *drop: str):
     """The Arrow schema of ``df`` without some columns."""
     from pyspark.sql.pandas.types import to_arrow_schema

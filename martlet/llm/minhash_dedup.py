@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm import _words as w
-from martlet.llm._common import ship, stored
+from martlet.llm._common import ship, spent, stored
 
 M, BANDS = 80, 20
 ROWS = M // BANDS
@@ -149,8 +149,8 @@ def _sketches(k: int):
 
 
 def verified(pairs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of groups whose sets are similar enough. The set of a ``b``
-    with many partners is sent to several tasks."""
+    """Pairs (a, b) of groups whose sets are similar enough, as a stored table.
+    The set of a ``b`` with many partners is sent to several tasks."""
     sets = groups.select("gid", "grams")
     slices = stored(pairs.groupBy("b").agg(F.floor(F.count("*") / PARTNERS).cast("int").alias("n")))
     many = slices.filter("n > 0").select(F.col("b").alias("hub"), "n")
@@ -159,7 +159,9 @@ def verified(pairs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame
     met = left.join(sets.select(F.col("gid").alias("a"), F.col("grams").alias("ga")), "a").join(right, ["b", "slice"])
     short, long = F.least(F.size("ga"), F.size("gb")), F.greatest(F.size("ga"), F.size("gb"))
     both = F.size(F.array_intersect("ga", "gb"))  # a set has a shingle once
-    return met.filter((short >= threshold * long) & (both >= threshold * (short + long - both))).select("a", "b")
+    links = stored(met.filter((short >= threshold * long) & (both >= threshold * (short + long - both))).select("a", "b"))
+    spent(slices)
+    return links
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -178,7 +180,8 @@ def parts(links: DataFrame) -> DataFrame:
         large = both.filter("b > a").join(least, F.col("a") == F.col("id")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         tied = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        edges = stored(tied.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        old, edges = edges, stored(tied.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        spent(old)
         after = _mark(edges)
         if after == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("part"))
@@ -200,15 +203,19 @@ def rest_pairs(entries: DataFrame, groups: DataFrame, threshold: float) -> DataF
     grams = stored(groups.join(left, "gid").select("gid", "part", F.size("grams").alias("n"), F.explode("grams").alias("gram")))
     # Stored, so that the planner knows its size and can split a frequent shingle.
     shared = stored(grams.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"))
-    rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.coalesce("df", F.lit(1)), "gram"))
+    # Shingles of one text lead its order and meet no other: the others' ranks start after them.
+    mine = Window.partitionBy("gid")
+    rank = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "gram"))
     least = F.ceil(F.lit(threshold) * F.col("n") - 1e-9)
     prefix = stored(
-        grams.join(shared, "gram", "left").withColumn("rank", rank)
-        .filter((F.col("rank") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("gid", "part", "gram", "n", (F.col("n") - F.col("rank") + 1).alias("tail"))
+        grams.join(shared, "gram").withColumn("rank", rank)
+        .filter(F.col("rank") <= F.col("n") - least + 1).select("gid", "part", "gram", "n", (F.col("n") - F.col("rank") + 1).alias("tail"))
     )
     other = prefix.select("gram", F.col("gid").alias("b"), F.col("part").alias("other"), F.col("n").alias("m"), F.col("tail").alias("rest"))
     fits = F.least("tail", "rest") >= F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("m")) - 1e-9
-    return prefix.join(other, "gram").filter((F.col("part") < F.col("other")) & fits).select(F.col("gid").alias("a"), "b")
+    pairs = stored(prefix.join(other, "gram").filter((F.col("part") < F.col("other")) & fits).select(F.col("gid").alias("a"), "b").distinct())
+    spent(grams, shared, prefix)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -241,18 +248,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
         if hubs:
             hub = entries.groupBy("band").agg(F.min_by(F.struct("gid", "part"), F.xxhash64("gid", "band", F.lit(r))).alias("hub"))
             pairs = entries.join(hub, "band").filter("part <> hub.part").select(F.col("gid").alias("a"), F.col("hub.gid").alias("b"))
+            pairs = stored(pairs.distinct())
         else:
             pairs = rest_pairs(entries, groups, threshold)
-        pairs = stored(pairs.distinct())
-        new = stored(verified(pairs, groups, threshold))
-        found = new.count()
+        new = verified(pairs, groups, threshold)
+        found, tried = new.count(), pairs.count()
         if found:
             label = parts(new.unionByName(label.select(F.col("id").alias("a"), F.col("part").alias("b"))))
+        spent(pairs, new)
         if not hubs:
             break
-        hubs = found >= YIELD * pairs.count()
+        hubs = found >= YIELD * tried
         if found:
-            entries = _tagged(entries.select("band", "gid"), label)
+            old, entries = entries, _tagged(entries.select("band", "gid"), label)
+            spent(old)
     of = member.join(label, member.gid == label.id, "left").withColumn("part", F.coalesce("part", "gid"))
     least = of.groupBy("part").agg(F.min("first_id").alias("class_id"))
     classes = stored(of.join(least, "part").select(*same, "class_id"))
