@@ -7,6 +7,8 @@ are 64-bit, depend on content alone and are the same in every process.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
@@ -18,6 +20,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes hashed at a time; the arrays of one block stay in the CPU's cache.
 BLOCK = 1 << 18
+#: Bytes of a word that is hashed on its own.
+LONG = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -73,14 +77,16 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A polynomial hash of each word's bytes, mixed with its length."""
+    """A polynomial hash of each word's bytes, mixed with its length; words of
+    over ``LONG`` bytes, for which different words with equal polynomials
+    modulo 2**64 are known, get their BLAKE2b hash."""
     out = np.empty(len(starts), U)
     i = 0
     while i < len(starts):
         base = int(starts[i])
         j = int(np.searchsorted(ends, base + BLOCK, side="right"))
         if j <= i:  # one word longer than a block
-            out[i], i = _long_hash(buf[base : int(ends[i])]), i + 1
+            i += 1
             continue
         part = buf[base : int(ends[j - 1])]
         total = np.zeros(len(part) + 1, U)
@@ -88,17 +94,10 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         s, e = starts[i:j] - base, ends[i:j] - base
         out[i:j] = (total[e] - total[s]) * _INV[s]
         i = j
-    return mix(out + (ends - starts).astype(U) * MUL)
-
-
-def _long_hash(part: np.ndarray) -> np.uint64:
-    h, at = U(0), U(1)
-    for k in range(0, len(part), BLOCK):
-        piece = part[k : k + BLOCK]
-        with np.errstate(over="ignore"):
-            h = h + at * np.sum(BYTE_CODE[piece] * _POW[: len(piece)], dtype=U)
-            at = at * _POW[len(piece)]
-    return h
+    out = mix(out + (ends - starts).astype(U) * MUL)
+    for k in np.flatnonzero(ends - starts > LONG).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(buf[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return out
 
 
 def gram_hashes(words: np.ndarray, k: int, base: int) -> np.ndarray:
@@ -116,7 +115,7 @@ def within_rows(rows: np.ndarray, k: int) -> np.ndarray:
     return rows[: len(rows) - k + 1] == rows[k - 1 :] if len(rows) >= k else np.zeros(0, bool)
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """``batch`` in slices of at most ``limit`` bytes of text (or one row), to bound the memory of a task."""
     col = batch.column(column)
     size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), np.int64)
