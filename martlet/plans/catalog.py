@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from martlet.functions import text as txt
 from martlet.functions.text import py_strip, strip_lower, strip_title
-from martlet.operators import clean, dims, events, facts, quality, relops
+from martlet.operators import clean, dims, events, facts, incremental, quality, relops
 from martlet.operators.joins import broadcast_if_small
 from martlet.operators.ordering import first_per_key
-from martlet.plans import star
+from martlet.plans import rollup, star
+from martlet.schemas import FACT_LINE_KEY
 from martlet.session import checkpoint_dir
 from martlet.sources.fixtures import AS_OF, SourceSet, sources
 
@@ -164,9 +165,20 @@ def loaded_fact(src: Ctx) -> DataFrame:
 
 
 
+def _new_rows(src: Ctx) -> DataFrame:
+    """The fact rows a load over ``loaded_fact`` inserts, found through the
+    line filter of the loaded keys before any of them is built."""
+    loaded = facts.with_partition_columns(loaded_fact(src))
+    held = loaded.select(*FACT_LINE_KEY, "month_key")
+    blocks = incremental.blocks_for(held)
+    keys = incremental.line_keys(src.tx_clean, src.transaction_items)
+    new, _ = incremental.new_keys(keys, incremental.line_filter(held, blocks), blocks, loaded)
+    return incremental.build_new(src.tx_clean, src.transaction_items, src.customer_dim, src.product_dim, new)
+
+
 @query
 def fact_incremental(src: Ctx) -> DataFrame:
-    return facts.new_lines(src.fact_table, loaded_fact(src))
+    return _new_rows(src)
 
 
 @query
@@ -528,6 +540,23 @@ def sales_date_range(src: Ctx) -> DataFrame:
     return star.sales_date_range(src.fact, RANGE_FROM, RANGE_TO)
 
 
+def _loads(src: Ctx) -> DataFrame:
+    """The partials of two loads: the lines loaded before, and the new ones."""
+    fact = src.fact_table
+    return rollup.partials(fact.where(F.col("transaction_date_key") < LOADED_BEFORE)).unionByName(
+        rollup.partials(fact.where(F.col("transaction_date_key") >= LOADED_BEFORE)))
+
+
+@query
+def sales_rollup(src: Ctx) -> DataFrame:
+    return rollup.levels(_loads(src))
+
+
+@query
+def sales_by_campaign(src: Ctx) -> DataFrame:
+    return rollup.by_campaign(_loads(src), src.campaign_dim)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -325,3 +325,18 @@ oracle("sales_date_range", """
            CAST(SUM(gross_amount) AS DECIMAL(18,2)) AS gross, CAST(SUM(profit_amount) AS DECIMAL(18,2)) AS profit
     FROM fact_sales WHERE transaction_date_key BETWEEN 19960315 AND 19970630
     GROUP BY 1""", "fact_sales")
+_SUMS = """COUNT(*) AS n_lines, CAST(SUM(quantity) AS BIGINT) AS quantity,
+           CAST(SUM(gross_amount) AS DECIMAL(28,2)) AS gross, CAST(SUM(profit_amount) AS DECIMAL(28,2)) AS profit"""
+_PERIODS = """SELECT *, transaction_date_key AS day, CAST(transaction_date_key // 100 AS INTEGER) AS month,
+           CAST((transaction_date_key // 10000) * 10 + (transaction_date_key // 100 % 100 + 2) // 3 AS INTEGER) AS quarter FROM fact_sales"""
+oracle("sales_rollup", f"""
+    SELECT CASE WHEN customer_key IS NOT NULL THEN 'customer' WHEN product_key IS NOT NULL THEN 'product'
+                WHEN campaign_key IS NOT NULL THEN 'campaign' ELSE 'all' END AS slice,
+           CAST(coalesce(customer_key, product_key, campaign_key) AS BIGINT) AS member,
+           CASE WHEN day IS NOT NULL THEN 'day' WHEN month IS NOT NULL THEN 'month' ELSE 'quarter' END AS level,
+           coalesce(day, month, quarter) AS period, {_SUMS}
+    FROM ({_PERIODS}) GROUP BY GROUPING SETS ((day), (month), (quarter), (month, customer_key), (quarter, customer_key),
+         (month, product_key), (quarter, product_key), (month, campaign_key), (quarter, campaign_key))""", "fact_sales")
+oracle("sales_by_campaign", f"""
+    SELECT campaign_id, campaign_name, quarter AS quarter_key, {_SUMS}
+    FROM ({_PERIODS}) JOIN dim_campaign USING (campaign_key) GROUP BY campaign_id, campaign_name, quarter""", "fact_sales", "dim_campaign")

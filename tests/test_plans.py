@@ -8,12 +8,14 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL, plan_of
 from martlet.plans import pipeline, star
+from martlet.plans.catalog import all_queries
 from martlet.sources.fixtures import AS_OF, sources
 
-PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
+PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
+            "FlatMapGroupsInArrow")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_python_in_plan(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL), "extended")
     assert not any(n in plan for n in PY_NODES), name
