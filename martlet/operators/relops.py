@@ -4,10 +4,10 @@ running totals and id-range tiers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.operators.ordering import rank_in_group, running_sum
+from martlet.operators.ordering import running_sum
 
 # Customer tiers by id (upper id bound, tier, visits).
 TIERS = [(20, "frequent", 15), (30, "regular", 8), (None, "occasional", 4)]
@@ -70,11 +70,18 @@ def customer_tiers(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", tier.alias("tier"), visits.cast("int").alias("visits"))
 
 
-def top_lines(lines: DataFrame, n: Column) -> DataFrame:
+def top_lines(lines: DataFrame, n: Column, most: int | None = None) -> DataFrame:
     """Per transaction, its ``n`` (a per-row expression) most expensive
-    lines, ties by line id. The rank is skew-safe (see ordering)."""
-    ranked = rank_in_group(
-        lines.withColumn("_n", n), ["transaction_id"],
-        [F.col("price").desc(), F.col("transaction_item_id")], "rank")
-    return ranked.where(F.col("rank") <= F.col("_n")).select(
-        "transaction_id", "transaction_item_id", "price", "rank")
+    lines, ties by line id.
+
+    ``most`` is an upper bound of ``n`` (by default its maximum, one number).
+    It is a literal limit on the rank, which Spark applies to each task's
+    lines before the shuffle (WindowGroupLimit), so a transaction sends at
+    most ``most`` lines a task however many it has; the row's own ``n`` then
+    decides among those."""
+    lines = lines.withColumn("_n", n)
+    if most is None:
+        most = lines.agg(F.max("_n")).first()[0] or 0
+    order = Window.partitionBy("transaction_id").orderBy(F.col("price").desc(), "transaction_item_id")
+    ranked = lines.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(most))
+    return ranked.where(F.col("rank") <= F.col("_n")).select("transaction_id", "transaction_item_id", "price", "rank")

@@ -423,7 +423,7 @@ def customer_tiers(src: Ctx) -> DataFrame:
 def topn_per_group(src: Ctx) -> DataFrame:
     lines = src.header_lines
     n = F.when(F.col("customer_id") <= 20, F.lit(3)).otherwise(F.lit(2))
-    return relops.top_lines(lines, n)
+    return relops.top_lines(lines, n, most=3)
 
 
 # --- audits ---------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ of the reference's 10,000-row chunk loop.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.schemas import SOURCE_KEYS, SOURCES
+from martlet.sources.files import Files
 
-POINTER = "_current"
+LOG = "_log"
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
@@ -65,30 +67,65 @@ def read_parquet_source(spark: SparkSession, root: str, table: str) -> DataFrame
 def snapshot_to_staging(spark: SparkSession, tables: Mapping[str, DataFrame], staging_root: str,
                         run_id: str | None = None) -> str:
     """Copy every source table into ``staging_root/run=<id>/<table>`` and
-    only then switch the ``_current`` pointer to the new run: readers see
-    either the previous complete snapshot or the new complete one, never a
-    mix (the five tables are published together)."""
+    then publish them together by one entry of the commit log."""
     run_id = run_id or uuid.uuid4().hex
     root = staging_root.rstrip("/")
     for name, df in tables.items():
         conform(df, SOURCES[name]).write.mode("overwrite").parquet(f"{root}/run={run_id}/{name}")
-    pointer = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root}/{POINTER}")
+    publish(spark, root, run_id, {name: f"run={run_id}/{name}" for name in tables})
     return run_id
 
 
+def publish(spark: SparkSession, staging_root: str, run_id: str, folders: Mapping[str, str]) -> int:
+    """Add the next entry to the commit log: an immutable file
+    ``_log/<number>.json`` that names the folders of all tables of a run. It
+    is created only if absent (of two writers one takes the next number) and
+    nothing of an earlier run is touched, so a crash at any point leaves the
+    previous snapshot as it is. Returns the number."""
+    root = staging_root.rstrip("/")
+    files = Files(spark, root)
+    text = json.dumps({"run_id": run_id, "folders": dict(folders), "end": True})
+    number = max([n for n, _ in _entries(files, root)], default=-1) + 1
+    while True:
+        path = f"{root}/{LOG}/{number:020d}.json"
+        if not files.fs.exists(files.path(path)):
+            try:
+                files.write(path, text)
+                return number
+            except Exception:  # noqa: BLE001 - created by another writer meanwhile
+                if not files.fs.exists(files.path(path)):
+                    raise
+        number += 1
+
+
+def _entries(files: Files, root: str) -> list[tuple[int, str]]:
+    names = files.names(f"{root}/{LOG}")
+    return sorted((int(n.removesuffix(".json")), n) for n in names if n.endswith(".json") and n.removesuffix(".json").isdigit())
+
+
+def published(spark: SparkSession, staging_root: str) -> dict:
+    """The highest complete entry of the commit log: run_id and folders. An
+    entry that a crash cut short does not parse and is passed over."""
+    root = staging_root.rstrip("/")
+    files = Files(spark, root)
+    for _, name in reversed(_entries(files, root)):
+        try:
+            entry = json.loads(files.read(f"{root}/{LOG}/{name}"))
+        except ValueError:
+            continue
+        if isinstance(entry, dict) and entry.get("end"):
+            return entry
+    raise RuntimeError(f"no published staging snapshot under {staging_root}")
+
+
 def current_run(spark: SparkSession, staging_root: str) -> str:
-    row = spark.read.schema("run_id string").json(f"{staging_root.rstrip('/')}/{POINTER}").first()
-    if row is None:
-        raise RuntimeError(f"no published staging snapshot under {staging_root}")
-    return row["run_id"]
+    return published(spark, staging_root)["run_id"]
 
 
 def read_staging(spark: SparkSession, staging_root: str) -> dict[str, DataFrame]:
-    """The five staged tables of the published run."""
-    run_id = current_run(spark, staging_root)
-    root = staging_root.rstrip("/")
-    return {t: spark.read.schema(s).parquet(f"{root}/run={run_id}/{t}") for t, s in SOURCES.items()}
+    """The staged tables of the published run."""
+    root, folders = staging_root.rstrip("/"), published(spark, staging_root)["folders"]
+    return {t: spark.read.schema(SOURCES[t]).parquet(f"{root}/{folder}") for t, folder in folders.items()}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -10,14 +10,21 @@ the daily load reads them like any other source snapshot.
 Delivery: the checkpoint gives at-least-once replay of a micro-batch, and
 the sink makes it effectively once:
 
-* output is partitioned by (``event_date``, ``query_id``, ``batch_id``) and
-  a batch overwrites only its own partitions, so a re-run replaces its own
-  files and a query with a new checkpoint (its ids start at 0 again)
-  replaces nothing of an older one;
+* headers and lines lie in ``BUCKETS`` hash buckets of the transaction id,
+  rejects by day; below that everything is partitioned by (``query_id``,
+  ``batch_id``). A batch overwrites only its own partitions, so a re-run
+  replaces its own files and a query with a new checkpoint (its ids start at
+  0 again) replaces nothing of an older one;
 * before writing, a batch drops the headers and lines that anything but this
-  very batch has stored, on whatever day. Line ids hash the event, so a
-  replayed event inserts nothing and another sale of a known transaction id
-  still gets its line. Its header stays the first one stored.
+  very batch has stored. Line ids hash the event, so a replayed event inserts
+  nothing and another sale of a known transaction id still gets its line. Its
+  header stays the first one stored.
+
+Cost: a batch lists and opens only the buckets of its own ids. Files carry a
+Parquet Bloom filter of the transaction id, and the ids of the batch reach the
+scan as a literal filter, so old files without a match give their footer only.
+Batches of a bucket are merged by levels (``streaming.compaction``), so the
+folders of a lookup grow with the logarithm of the history only. One ingest writes to an output at a time.
 """
 
 from __future__ import annotations
@@ -28,11 +35,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martlet.operators import events
 from martlet.session import configure
-from martlet.sources.readers import path_exists
+from martlet.streaming import compaction
+from martlet.streaming.compaction import BUCKET, bucket_of, stored_buckets, write_buckets
 
 
 HEADERS, LINES, REJECTS = "transactions", "transaction_items", "rejects"
-TAGS = ("event_date", "query_id", "batch_id")
+CONF_MAX_IDS = ("martlet.lookup.maxInlineKeys", 100_000)
 
 
 def read_kafka(spark: SparkSession, brokers: str, topic: str,
@@ -69,44 +77,44 @@ def parse(stream: DataFrame, text: str = "value") -> DataFrame:
     return events.from_payload(stream, text)
 
 
-def _unstored(df: DataFrame, path: str, keys: list[str], query_id: str, batch_id: int) -> DataFrame:
-    """Rows of ``df`` whose key nothing but this very batch has stored.
-
-    The range of the batch's transaction ids (one row) lets Parquet
-    statistics skip what cannot match; both sides of the join have it, so
-    the answer does not depend on it."""
-    spark = df.sparkSession
-    if not path_exists(spark, path):
-        return df
-    low, high = df.agg(F.min("transaction_id"), F.max("transaction_id")).first()
-    if low is None:
+def _unstored(df: DataFrame, path: str, keys: list[str], query_id: str, batch_id: int, buckets: list[int], ids: list[int] | None) -> DataFrame:
+    """Rows of ``df`` whose key nothing but this very batch has stored in the
+    batch's ``buckets``. ``ids`` are its transaction ids, or None where they
+    are too many for a literal filter; the join decides either way."""
+    stored = stored_buckets(df.sparkSession, path, buckets)
+    if stored is None:
         return df
-    own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
-    stored = spark.read.parquet(path).where(~own & F.col("transaction_id").between(low, high)).select(*keys)
-    return df.join(stored, keys, "left_anti")
-
-
-def _write(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*TAGS).parquet(path))
+    stored = stored.where(~((F.col("query_id") == query_id) & (F.col("batch_id").cast("string") == str(batch_id))))
+    if ids is not None:
+        stored = stored.where(F.col("transaction_id").isin(ids))
+    return df.join(stored.select(*keys), keys, "left_anti")
 
 
 def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products: DataFrame,
                 out_root: str, query_id: str = "batch") -> None:
     """foreachBatch body: validate, split, drop what is stored, write."""
     root = out_root.rstrip("/")
+    spark = batch.sparkSession
     tag = [F.lit(query_id).alias("query_id"), F.lit(batch_id).alias("batch_id")]
     day = F.coalesce(F.to_date("transaction_date"), F.lit("1970-01-01").cast("date")).alias("event_date")
     checked = events.validate(batch, customers, products, per_batch=True).persist()
     try:
         ok = checked.where(F.col("reason").isNull())
-        heads = _unstored(events.headers(ok), f"{root}/{HEADERS}", ["transaction_id"], query_id, batch_id)
-        lines = _unstored(events.lines(ok, keep=("transaction_date",)), f"{root}/{LINES}",
-                          ["transaction_id", "transaction_item_id"], query_id, batch_id)
-        _write(heads.select("*", day, *tag), f"{root}/{HEADERS}")
-        _write(lines.select("transaction_item_id", "transaction_id", "product_id", "quantity", "price",
-                            day, *tag), f"{root}/{LINES}")
-        _write(checked.where(F.col("reason").isNotNull()).select("*", day, *tag), f"{root}/{REJECTS}")
+        key, default = CONF_MAX_IDS
+        bound = int(spark.conf.get(key, str(default)))
+        buckets = sorted(r[BUCKET] for r in ok.select(bucket_of("transaction_id").alias(BUCKET)).distinct().collect())  # at most BUCKETS
+        ids = [r["transaction_id"] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
+        known = ids if len(ids) <= bound else None
+        for name in (HEADERS, LINES):
+            compaction.recover(spark, f"{root}/{name}")
+        heads = _unstored(events.headers(ok), f"{root}/{HEADERS}", ["transaction_id"], query_id, batch_id, buckets, known)
+        lines = _unstored(events.lines(ok), f"{root}/{LINES}", ["transaction_id", "transaction_item_id"], query_id, batch_id, buckets, known)
+        write_buckets(heads.select("*", *tag), f"{root}/{HEADERS}")
+        write_buckets(lines.select("transaction_item_id", "transaction_id", "product_id", "quantity", "price", *tag), f"{root}/{LINES}")
+        (checked.where(F.col("reason").isNotNull()).select("*", day, *tag).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "query_id", "batch_id").parquet(f"{root}/{REJECTS}"))
+        for name in (HEADERS, LINES):
+            compaction.compact(spark, f"{root}/{name}", buckets)
     finally:
         checked.unpersist()
 

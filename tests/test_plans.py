@@ -50,3 +50,16 @@ def test_quarter_query_gets_dynamic_pruning(spark, warehouse):
 def test_source_scans_prune_columns(spark):
     plan = plan_of(entry.queries()["customer_tiers"](spark, SF_SMALL), "formatted")
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
+
+
+def test_top_lines_are_limited_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from martlet.operators.relops import top_lines
+
+    lines = spark.range(1000).selectExpr("cast(id % 3 as int) transaction_id", "id transaction_item_id", "cast(id % 7 as decimal(10,2)) price")
+    got = top_lines(lines, F.when(F.col("transaction_id") == 0, 4).otherwise(1))
+    plan = plan_of(got, "formatted")
+    assert plan.count("WindowGroupLimit") >= 2 and "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan
+    assert sorted((r.transaction_id, r.rank) for r in got.collect()) == [(0, 1), (0, 2), (0, 3), (0, 4), (1, 1), (2, 1)]
+    assert top_lines(lines.limit(0), F.lit(2)).collect() == []

@@ -3,6 +3,7 @@ idempotent header/line split (replays, malformed events, restarts)."""
 
 import json
 import os
+from collections import Counter
 
 from martlet.streaming import ingest
 from martlet.streaming import minute_counts as mc
@@ -119,3 +120,62 @@ def test_stream_minute_counts_equal_batch_query(spark, scratch):
     mc.start_to_table(parsed, out, os.path.join(scratch, "ck"), trigger={"availableNow": True}).awaitTermination()
     batch = entry.queries()["minute_counts_completed"](spark, SF_SMALL)
     assert counts(spark, out) == sorted(tuple(r) for r in batch.collect())
+
+
+def test_sink_lists_and_keeps_few_files_however_many_batches(spark, scratch, monkeypatch):
+    """Every bucket holds a bounded number of batch folders, nothing is lost
+    or doubled, and a lookup reads only its own buckets."""
+    from martlet.streaming import compaction
+
+    monkeypatch.setattr(compaction, "BUCKETS", 4)
+    monkeypatch.setattr(compaction, "MAX_BATCHES", 3)
+    out = os.path.join(scratch, "out")
+    most = []
+    for n in range(14):
+        texts = [ev(100 * n + k, f"2024-01-01 00:{n:02d}:{k:02d}") for k in range(5)]
+        split(spark, out, texts + [ev(0, "2024-01-01 00:00:00")], n, "q")  # sale 0 is replayed in every batch
+        files = compaction.Files(spark, out)
+        most.append([Counter(map(compaction.level_of, compaction.batches(files, f"{out}/transactions/bucket={b}"))) for b in range(4)])
+    assert all(n <= 3 for buckets in most for level in buckets for n in level.values())
+    assert max(level for bucket in most[-1] for level in bucket) <= 2 < 14
+    want = sorted(100 * n + k for n in range(14) for k in range(5))
+    assert stored_ids(spark, out, "transactions") == want == stored_ids(spark, out, "transaction_items")
+    split(spark, out, texts, 13, "q")  # a batch whose rows were merged runs again
+    assert stored_ids(spark, out, "transactions") == want == stored_ids(spark, out, "transaction_items")
+    one = compaction.stored_buckets(spark, f"{out}/transactions", [2])
+    assert all("bucket=2" in f for f in one.inputFiles()) and compaction.stored_buckets(spark, f"{out}/transactions", [9]) is None
+
+
+def test_interrupted_merges_lose_and_double_nothing(spark, scratch, monkeypatch):
+    from martlet.streaming import compaction
+
+    path = os.path.join(scratch, "t")
+    for n in range(3):
+        rows = spark.createDataFrame([(n * 10 + k,) for k in range(6)], "transaction_id int").selectExpr("*", "'q' AS query_id", f"{n} AS batch_id")
+        compaction.write_buckets(rows, path)
+    want = sorted(n * 10 + k for n in range(3) for k in range(6))
+    ids = lambda: sorted(r.transaction_id for r in spark.read.parquet(path).collect())
+    monkeypatch.setattr(compaction, "MAX_BATCHES", 1)
+    steps = ("write", "delete", "rename")
+    for step in steps:  # the first call of each step fails, before or after which files differ
+
+        class Failing(compaction.Files):
+            pass
+
+        def fail(*_):
+            raise KeyboardInterrupt
+
+        setattr(Failing, step, fail)
+        monkeypatch.setattr(compaction, "Files", Failing)
+        try:
+            compaction.compact(spark, path, range(64))
+        except KeyboardInterrupt:
+            pass
+        monkeypatch.undo()
+        monkeypatch.setattr(compaction, "MAX_BATCHES", 1)
+        compaction.recover(spark, path)
+        assert ids() == want, step
+    compaction.compact(spark, path, range(64))
+    files = compaction.Files(spark, path)
+    assert ids() == want and max(len(compaction.batches(files, f"{path}/bucket={b}")) for b in range(64)) == 1
+    assert not [n for b in range(64) for n in files.names(f"{path}/bucket={b}") if n.startswith("_merge")]
