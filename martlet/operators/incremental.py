@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from martlet.functions.dates import date_key, month_key
 from martlet.operators import facts, skew
+from martlet.operators.joins import broadcast_if_small
 from martlet.schemas import FACT_LINE_KEY
 from martlet.sources.readers import read_or_empty
 
@@ -42,13 +43,22 @@ def _same(left: DataFrame, right: DataFrame) -> Column:
 
 
 def line_keys(tx_clean: DataFrame, items: DataFrame) -> DataFrame:
-    """(transaction, line, day, month) of every line with a clean header; hot
-    transactions are salted as in the fact build."""
+    """(transaction, line, day, month) of every line with a clean header, and
+    the members it refers to; hot transactions are salted as in the fact build."""
     hot = skew.heavy_hitters(items, "transaction_id")
-    body = items.select("transaction_item_id", "transaction_id")
-    lines = skew.salted_join(body, tx_clean.select("transaction_id", "transaction_date"), "transaction_id", hot, row_id="transaction_item_id")
+    body = items.select("transaction_item_id", "transaction_id", "product_id")
+    head = tx_clean.select("transaction_id", "customer_id", "transaction_date")
+    lines = skew.salted_join(body, head, "transaction_id", hot, row_id="transaction_item_id")
     lines = lines.withColumn("transaction_date_key", date_key("transaction_date"))
-    return lines.select(*FACT_LINE_KEY, month_key("transaction_date_key").alias("month_key"))
+    return lines.select(*FACT_LINE_KEY, month_key("transaction_date_key").alias("month_key"), "customer_id", "product_id")
+
+
+def insertable(new: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """The new keys whose members are in their dimensions; lines refused by
+    an earlier load come up again in every batch and end here."""
+    for dim, key in ((dim_customer, "customer_id"), (dim_product, "product_id")):
+        new = new.join(broadcast_if_small(dim.select(key)), key, "left_semi")
+    return new
 
 
 # --- the filter ----------------------------------------------------------------
@@ -108,16 +118,18 @@ def new_keys(keys: DataFrame, bitmaps: DataFrame, blocks: dict[int, int], existi
     if not months:
         return sure, 0
     held = existing.where(F.col("month_key").isin(months)).select(*FACT_LINE_KEY)
-    held = held.withColumn("_loaded", F.lit(True)).dropDuplicates(FACT_LINE_KEY)
-    checked = doubt.join(held, _same(doubt, held), "left").select(*(doubt[c] for c in keys.columns), "_loaded").checkpoint(eager=True)
-    fresh = checked.where(F.col("_loaded").isNull()).select(*keys.columns)
-    return sure.unionByName(fresh), checked.where("_loaded").count()
+    fresh = doubt.join(held, _same(doubt, held), "left_anti").select(*keys.columns).checkpoint(eager=True)
+    return sure.unionByName(fresh), doubt.count() - fresh.count()
 
 
-def build_new(tx_clean: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, new: DataFrame) -> DataFrame:
+def build_new(tx_clean: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, new: DataFrame,
+              loaded: int = 1) -> DataFrame:
     """The fact rows of the new lines. Baskets with a new line are built
     whole, as basket metrics need all their lines; the others are not read
-    past their ids."""
+    past their ids. Where none of the batch's lines is ``loaded``, all are
+    new and nothing has to be looked for."""
+    if not loaded:
+        return facts.build_fact(tx_clean, items, dim_customer, dim_product)
     baskets = new.select("transaction_id").distinct()
     rows = facts.build_fact(tx_clean.join(baskets, "transaction_id", "left_semi"),
                             items.join(baskets, "transaction_id", "left_semi"), dim_customer, dim_product)
@@ -134,7 +146,7 @@ def stored_blocks(spark: SparkSession, path: str) -> dict[int, int]:
 
 
 def append_filter(keys: DataFrame, path: str, known: dict[int, int]) -> None:
-    line_filter(keys, blocks_for(keys, known)).write.mode("append").partitionBy("month_key").parquet(path)
+    line_filter(keys, blocks_for(keys, known)).hint("rebalance", "month_key").write.mode("append").partitionBy("month_key").parquet(path)
 
 
 def ensure_filter(spark: SparkSession, fact: DataFrame, path: str, months: list[int]) -> dict[int, int]:

@@ -172,8 +172,10 @@ def _new_rows(src: Ctx) -> DataFrame:
     held = loaded.select(*FACT_LINE_KEY, "month_key")
     blocks = incremental.blocks_for(held)
     keys = incremental.line_keys(src.tx_clean, src.transaction_items)
-    new, _ = incremental.new_keys(keys, incremental.line_filter(held, blocks), blocks, loaded)
-    return incremental.build_new(src.tx_clean, src.transaction_items, src.customer_dim, src.product_dim, new)
+    new, n = incremental.new_keys(keys, incremental.line_filter(held, blocks), blocks, loaded)
+    if n:
+        new = incremental.insertable(new, src.customer_dim, src.product_dim)
+    return incremental.build_new(src.tx_clean, src.transaction_items, src.customer_dim, src.product_dim, new, n)
 
 
 @query

@@ -58,27 +58,33 @@ def load_fact(spark: SparkSession, tx: DataFrame, items: DataFrame, root: str, m
     no dimension is read and no fact row is built. The new rows are kept in
     the checkpoint folder, since three tables are written from them, in this
     order: the line filter (which may hold lines that are not loaded, never
-    the reverse), the fact, the rollup partials (checked against the fact, and
-    rebuilt by month where a crash left them apart). The fact write asks AQE to
+    the reverse), the fact, the rollup partials (rebuilt by month where a crash
+    left them apart). The fact write asks AQE to
     rebalance by month, so a hot month is split over several writers."""
     path, filters, sums = f"{root}/fact_sales", f"{root}/line_filter", f"{root}/rollup"
-    existing = read_or_empty(spark, path, schemas.FACT_SALES).where(F.col("month_key").isin(months))
-    stale = rollup.stale_months(existing, spark, sums, months)
-    if stale:
-        rollup.rebuild(existing, sums, stale)
+    fact = read_or_empty(spark, path, schemas.FACT_SALES)
+    rollup.repair(spark, fact, root, sums)
+    existing = fact.where(F.col("month_key").isin(months))
     known = incremental.ensure_filter(spark, existing, filters, months)
     bitmaps = read_or_empty(spark, filters, incremental.FILTER).where(F.col("month_key").isin(months))
     new, loaded = incremental.new_keys(incremental.line_keys(tx, items), bitmaps, known, existing)
     if new.isEmpty():
         return loaded, 0
     # Keys are read back from the stored dimensions (lineage cut there).
-    rows = incremental.build_new(tx, items, spark.read.parquet(f"{root}/dim_customer"), spark.read.parquet(f"{root}/dim_product"), new)
+    dim_c, dim_p = (spark.read.parquet(f"{root}/{d}") for d in ("dim_customer", "dim_product"))
+    if loaded:
+        new = incremental.insertable(new, dim_c, dim_p)
+        if new.isEmpty():
+            return loaded, 0
+    rows = incremental.build_new(tx, items, dim_c, dim_p, new, loaded)
     rows = facts.with_partition_columns(rows).select(*schemas.FACT_SALES.fieldNames()).checkpoint(eager=True)
     inserted = rows.count()
     if inserted:
+        rollup.open_load(spark, root, months)
         incremental.append_filter(rows.select(*schemas.FACT_LINE_KEY, "month_key"), filters, known)
         rows.hint("rebalance", "month_key").write.mode("append").partitionBy("month_key").parquet(path)
         rollup.append(rows, sums)
+        rollup.close_load(spark, root)
     return loaded + inserted, inserted
 
 

@@ -9,21 +9,26 @@ read and never stored.
 
 The partials lie under ``rollup/month_key=YYYYMM``, one set of files for each
 load. A crash between the fact append and the rollup append, or inside one,
-leaves months whose partials count other lines than the fact holds: the next
-load compares both counts (the fact's come from file footers) and rebuilds
-just those months from the fact.
+leaves months whose partials count other lines than the fact holds. A load
+notes its months in ``_load_open.json`` until it is through; where the next
+one finds that note, it compares the counts of both and rebuilds the months
+that differ from the fact.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.functions.dates import month_key
-from martlet.sources.readers import read_or_empty
+from martlet.sources.files import Files
+from martlet.sources.readers import path_exists, read_or_empty
 
 MONEY = "decimal(28,2)"
+OPEN = "_load_open.json"
 #: Slice name and the fact's key column; ``all`` has no member.
 SLICES = {"customer": "customer_key", "product": "product_key", "campaign": "campaign_key"}
 PARTIAL = T.StructType([
@@ -105,7 +110,7 @@ def read(spark: SparkSession, path: str, months: list[int] | None = None) -> Dat
 
 def append(new_lines: DataFrame, path: str) -> None:
     """Add the partials of a load's new lines."""
-    partials(new_lines).write.mode("append").partitionBy("month_key").parquet(path)
+    partials(new_lines).hint("rebalance", "month_key").write.mode("append").partitionBy("month_key").parquet(path)
 
 
 def stale_months(fact: DataFrame, spark: SparkSession, path: str, months: list[int]) -> list[int]:
@@ -117,6 +122,34 @@ def stale_months(fact: DataFrame, spark: SparkSession, path: str, months: list[i
     return sorted(r["month_key"] for r in both.select("month_key").collect())
 
 
+def open_load(spark: SparkSession, root: str, months: list[int]) -> None:
+    """Note the months a load is about to extend."""
+    Files(spark, root).write(f"{root}/{OPEN}", json.dumps(months))
+
+
+def close_load(spark: SparkSession, root: str) -> None:
+    Files(spark, root).delete(f"{root}/{OPEN}")
+
+
+def repair(spark: SparkSession, fact: DataFrame, root: str, path: str) -> None:
+    """After a load that did not end (its note is still there), or for a fact
+    that never had partials: rebuild the months that differ."""
+    files = Files(spark, root)
+    noted = OPEN in files.names(root)
+    if not noted and path_exists(spark, path):
+        return
+    try:
+        months = json.loads(files.read(f"{root}/{OPEN}")) if noted and path_exists(spark, path) else None
+    except ValueError:  # the note itself was cut short
+        months = None
+    if months is None:  # bounded by the calendar
+        months = sorted(r["month_key"] for r in fact.select("month_key").distinct().collect())
+    stale = stale_months(fact, spark, path, months) if months else []
+    if stale:
+        rebuild(fact, path, stale)
+    close_load(spark, root)
+
+
 def rebuild(fact: DataFrame, path: str, months: list[int]) -> None:
     """Replace the partials of some months by those of the fact."""
     rows = partials(fact.where(F.col("month_key").isin(months)))

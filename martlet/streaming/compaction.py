@@ -35,9 +35,12 @@ MERGE, DONE, MERGED = "_merge-", ".done", "query_id=merged-"
 #: Bytes of a merged file, about.
 FILE_BYTES = 256 << 20
 TAGS = (BUCKET, "query_id", "batch_id")
-#: Small filters: a file holds the ids of one batch, or of one merged bucket.
-BLOOM = {"parquet.bloom.filter.enabled#transaction_id": "true", "parquet.bloom.filter.adaptive.enabled": "true",
-         "parquet.bloom.filter.max.bytes": str(1 << 20)}
+
+
+def bloom(level: int) -> dict[str, str]:
+    """Writer options: a Bloom filter of the ids, sized for a batch's bucket and up by level."""
+    return {"parquet.bloom.filter.enabled#transaction_id": "true",
+            "parquet.bloom.filter.expected.ndv#transaction_id": str(min(10_000 * MAX_BATCHES**level, 2_000_000))}
 
 
 def bucket_of(key: str) -> Column:
@@ -48,7 +51,7 @@ def write_buckets(df: DataFrame, path: str) -> None:
     """Write a batch, one file for each bucket it touches, replacing only the
     batch's own partitions."""
     (df.withColumn(BUCKET, bucket_of("transaction_id")).repartition(BUCKET).sortWithinPartitions(BUCKET, "transaction_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**BLOOM).partitionBy(*TAGS).parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**bloom(0)).partitionBy(*TAGS).parquet(path))
 
 
 def stored_buckets(spark: SparkSession, path: str, buckets: list[int]) -> DataFrame | None:
@@ -80,7 +83,7 @@ def compact(spark: SparkSession, path: str, buckets: list[int]) -> None:
                 rows = spark.read.parquet(*[f"{folder}/{p}" for p in mine])
                 n = 1 + sum(files.size(f"{folder}/{p}") for p in mine) // FILE_BYTES
                 rows = rows.coalesce(1) if n == 1 else rows.repartitionByRange(n, "transaction_id")
-                rows.sortWithinPartitions("transaction_id").write.options(**BLOOM).parquet(f"{folder}/{name}")
+                rows.sortWithinPartitions("transaction_id").write.options(**bloom(level + 1)).parquet(f"{folder}/{name}")
                 files.write(f"{folder}/{name}{DONE}", "\n".join(mine))
                 _finish(files, folder, name)
                 parts = batches(files, folder)

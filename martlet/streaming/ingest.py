@@ -29,6 +29,9 @@ folders of a lookup grow with the logarithm of the history only. One ingest writ
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,7 +43,7 @@ from martlet.streaming.compaction import BUCKET, bucket_of, stored_buckets, writ
 
 
 HEADERS, LINES, REJECTS = "transactions", "transaction_items", "rejects"
-CONF_MAX_IDS = ("martlet.lookup.maxInlineKeys", 100_000)
+CONF_MAX_IDS = ("martlet.ingest.maxInlineIds", 10_000)
 
 
 def read_kafka(spark: SparkSession, brokers: str, topic: str,
@@ -77,16 +80,17 @@ def parse(stream: DataFrame, text: str = "value") -> DataFrame:
     return events.from_payload(stream, text)
 
 
-def _unstored(df: DataFrame, path: str, keys: list[str], query_id: str, batch_id: int, buckets: list[int], ids: list[int] | None) -> DataFrame:
+def _unstored(df: DataFrame, path: str, keys: list[str], query_id: str, batch_id: int, buckets: list[int], ids: Callable[[], list[int] | None]) -> DataFrame:
     """Rows of ``df`` whose key nothing but this very batch has stored in the
-    batch's ``buckets``. ``ids`` are its transaction ids, or None where they
+    batch's ``buckets``. ``ids`` gives its transaction ids, or None where they
     are too many for a literal filter; the join decides either way."""
     stored = stored_buckets(df.sparkSession, path, buckets)
     if stored is None:
         return df
     stored = stored.where(~((F.col("query_id") == query_id) & (F.col("batch_id").cast("string") == str(batch_id))))
-    if ids is not None:
-        stored = stored.where(F.col("transaction_id").isin(ids))
+    known = ids()
+    if known is not None:
+        stored = stored.where(F.col("transaction_id").isin(known))
     return df.join(stored.select(*keys), keys, "left_anti")
 
 
@@ -103,8 +107,12 @@ def split_batch(batch: DataFrame, batch_id: int, customers: DataFrame, products:
         key, default = CONF_MAX_IDS
         bound = int(spark.conf.get(key, str(default)))
         buckets = sorted(r[BUCKET] for r in ok.select(bucket_of("transaction_id").alias(BUCKET)).distinct().collect())  # at most BUCKETS
-        ids = [r["transaction_id"] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
-        known = ids if len(ids) <= bound else None
+
+        @cache
+        def known() -> list[int] | None:
+            ids = [r["transaction_id"] for r in ok.select("transaction_id").distinct().limit(bound + 1).collect()]
+            return ids if len(ids) <= bound else None
+
         for name in (HEADERS, LINES):
             compaction.recover(spark, f"{root}/{name}")
         heads = _unstored(events.headers(ok), f"{root}/{HEADERS}", ["transaction_id"], query_id, batch_id, buckets, known)
