@@ -76,12 +76,16 @@ def cmd_ingest(args) -> int:
 
 
 def cmd_minutes(args) -> int:
-    from martlet.streaming import ingest, minute_counts
+    from martlet.streaming import clock_minutes, ingest, minute_counts
 
     spark = _session()
     parsed = ingest.parse(_stream(spark, args))
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    if args.out:
+    if args.close == "clock":
+        grace = round(args.grace * 1000)
+        q = (clock_minutes.start_to_table(parsed, args.out, args.checkpoint, grace, trigger) if args.out
+             else clock_minutes.start_console(parsed, args.checkpoint, grace, trigger))
+    elif args.out:
         q = minute_counts.start_to_table(parsed, args.out, args.checkpoint, args.lateness, trigger)
     else:
         q = minute_counts.start_console(parsed, args.checkpoint, args.lateness, trigger)
@@ -119,6 +123,9 @@ def main(argv: list[str] | None = None) -> int:
         else:
             p.add_argument("--out", help="Parquet folder (default: console)")
             p.add_argument("--lateness", default="0 seconds")
+            p.add_argument("--close", choices=["event", "clock"], default="event",
+                           help="a minute ends with a later event, or when the clock has passed it")
+            p.add_argument("--grace", type=float, default=0, help="seconds a minute stays open after its end (--close clock)")
         p.set_defaults(fn=fn)
 
     args = ap.parse_args(argv)
