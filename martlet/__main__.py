@@ -48,7 +48,7 @@ def cmd_etl(args) -> int:
 
     spark = _session()
     as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    summary = run_pipeline(spark, _sources(spark, args), args.warehouse, as_of)
+    summary = run_pipeline(spark, _sources(spark, args), args.warehouse, as_of, strict=args.strict)
     for r in summary.collect():
         print(f"{r.table_name}: {r.candidates} candidates, {r.inserted} inserted")
     return 0
@@ -105,6 +105,7 @@ def main(argv: list[str] | None = None) -> int:
     etl.add_argument("--password")
     etl.add_argument("--warehouse", required=True)
     etl.add_argument("--as-of", help="ISO timestamp; rows after it are held back (default: now, UTC)")
+    etl.add_argument("--strict", action="store_true", help="refuse a snapshot that breaks a declared constraint")
     etl.set_defaults(fn=cmd_etl)
 
     for name, fn, text in [("ingest", cmd_ingest, "validate and split sale events"),

@@ -22,7 +22,7 @@ VARCHAR_LIMITS = {
 }
 
 
-def _rules_to_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def rules_to_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """One aggregate pass: rule name -> count of rows where the violation
     predicate is true; then one output row per rule."""
     names = list(rules)
@@ -45,7 +45,7 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 def null_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """NOT NULL on every column of every table."""
     return _union([
-        _rules_to_rows(df, {f"{t}.{c} not null": F.col(c).isNull() for c in df.columns})
+        rules_to_rows(df, {f"{t}.{c} not null": F.col(c).isNull() for c in df.columns})
         for t, df in tables.items()
     ])
 
@@ -68,14 +68,14 @@ def unique_violations(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) ->
 def check_violations(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
     """CHECK constraints: a row violates when the predicate is FALSE (a
     NULL result passes, as in SQL)."""
-    return _union([_rules_to_rows(df, {rule: ~pred}) for rule, df, pred in checks])
+    return _union([rules_to_rows(df, {rule: ~pred}) for rule, df, pred in checks])
 
 
 def length_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     frames = []
     for t, limits in VARCHAR_LIMITS.items():
         df = tables[t]
-        frames.append(_rules_to_rows(df, {f"{t}.{c} length <= {n}": F.length(c) > n
+        frames.append(rules_to_rows(df, {f"{t}.{c} length <= {n}": F.length(c) > n
                                           for c, n in limits.items()}))
     return _union(frames)
 
@@ -83,7 +83,7 @@ def length_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
 def precision_violations(checks: Sequence[tuple[str, DataFrame, Column, str]]) -> DataFrame:
     """Values that do not fit their declared decimal type."""
     return _union([
-        _rules_to_rows(df, {rule: value.isNotNull() & value.try_cast(dtype).isNull()})
+        rules_to_rows(df, {rule: value.isNotNull() & value.try_cast(dtype).isNull()})
         for rule, df, value, dtype in checks
     ])
 

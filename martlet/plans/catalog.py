@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions import text as txt
 from martlet.functions.text import py_strip, strip_lower, strip_title
-from martlet.operators import clean, dims, events, facts, incremental, quality, relops
+from martlet.operators import clean, dims, events, facts, gate, incremental, quality, relops
 from martlet.operators.joins import broadcast_if_small
 from martlet.operators.ordering import first_per_key
 from martlet.plans import rollup, star
@@ -497,6 +497,12 @@ def audit_fact_fk(src: Ctx) -> DataFrame:
     ])
 
 
+@query
+def audit_write_rules(src: Ctx) -> DataFrame:
+    """Every rule the load can refuse a source snapshot for, one scan a table."""
+    return gate.report(_source_tables(src), gate.source_rules())
+
+
 @query
 def audit_precision(src: Ctx) -> DataFrame:
     items = src.transaction_items

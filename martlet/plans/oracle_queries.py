@@ -259,6 +259,17 @@ _LIMITS = {"customers": {"name": 100, "email": 150, "city": 100},
 oracle("audit_lengths", "\nUNION ALL\n".join(
     f"SELECT '{t}.{c} length <= {n}' AS rule, COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_violations FROM {t}"
     for t, lim in _LIMITS.items() for c, n in lim.items()), *_LIMITS)
+oracle("audit_write_rules", "\nUNION ALL\n".join([
+    *[f"SELECT '{t}.{c} not null' AS rule, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_violations FROM {t}"
+      for t, cols in _SOURCE_COLS.items() for c in cols],
+    *[f"SELECT '{t}.{c} length <= {n}', COUNT(*) FILTER (WHERE length({c}) > {n}) FROM {t}"
+      for t, lim in _LIMITS.items() for c, n in lim.items()],
+    "SELECT 'products.price >= 0', COUNT(*) FILTER (WHERE price < 0) FROM products",
+    "SELECT 'transactions.total_amount >= 0', COUNT(*) FILTER (WHERE total_amount < 0) FROM transactions",
+    "SELECT 'transaction_items.quantity > 0', COUNT(*) FILTER (WHERE quantity <= 0) FROM transaction_items",
+    "SELECT 'transaction_items.price >= 0', COUNT(*) FILTER (WHERE price < 0) FROM transaction_items",
+    "SELECT 'marketing_campaigns.end_date >= start_date', COUNT(*) FILTER (WHERE end_date < start_date) FROM marketing_campaigns",
+]), *_SOURCE_COLS)
 oracle("audit_fact_fk", """
     SELECT 'fact_sales.transaction_date_key -> dim_date' AS rule,
            COUNT(*) FILTER (WHERE transaction_date_key NOT IN (SELECT date_key FROM dim_date)) AS n_violations

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from martlet import schemas
 from martlet.functions.dates import date_key, month_key
-from martlet.operators import clean, dims, facts, incremental
+from martlet.operators import clean, dims, facts, gate, incremental
 from martlet.plans import rollup
 from martlet.session import configure
 from martlet.sources.readers import read_or_empty, read_staging, snapshot_to_staging
@@ -30,12 +30,16 @@ from martlet.sources.readers import read_or_empty, read_staging, snapshot_to_sta
 def load_dimension(spark: SparkSession, incoming: DataFrame, path: str, business_key: str,
                    key_col: str, schema) -> int:
     """Append members not yet in the dimension, keys continuing after the
-    current maximum. Returns the number of rows inserted."""
+    current maximum. Returns the number of rows inserted; members without a
+    key are refused (``gate.RuleViolation``) before anything is appended."""
     existing = read_or_empty(spark, path, schema)
     # The keyed new members are materialised in the checkpoint folder by the
     # numbering, so counting them re-reads that slice, not the sources.
     new = dims.upsert_dimension(incoming, existing, business_key, key_col).select(*schema.fieldNames())
-    inserted = new.count()
+    keyed = gate.dimension_rules(path.rsplit("/", 1)[-1], [key_col, business_key]).violations
+    seen = new.agg(F.count(F.lit(1)), *[F.count_if(v) for v in keyed.values()]).first()
+    gate.refuse({rule: n for rule, n in zip(keyed, seen[1:], strict=True) if n})
+    inserted = seen[0]
     new.write.mode("append").parquet(path)
     return inserted
 
@@ -57,8 +61,9 @@ def load_fact(spark: SparkSession, tx: DataFrame, items: DataFrame, root: str, m
     New lines are found first (``operators.incremental``): on a repeated load
     no dimension is read and no fact row is built. The new rows are kept in
     the checkpoint folder, since three tables are written from them, in this
-    order: the line filter (which may hold lines that are not loaded, never
-    the reverse), the fact, the rollup partials (rebuilt by month where a crash
+    order, once their constraints hold (``operators.gate``, counted while they
+    are kept; a violation raises and nothing is written): the line filter
+    (which may hold lines that are not loaded, never the reverse), the fact, the rollup partials (rebuilt by month where a crash
     left them apart). The fact write asks AQE to
     rebalance by month, so a hot month is split over several writers."""
     path, filters, sums = f"{root}/fact_sales", f"{root}/line_filter", f"{root}/rollup"
@@ -77,8 +82,9 @@ def load_fact(spark: SparkSession, tx: DataFrame, items: DataFrame, root: str, m
         if new.isEmpty():
             return loaded, 0
     rows = incremental.build_new(tx, items, dim_c, dim_p, new, loaded)
-    rows = facts.with_partition_columns(rows).select(*schemas.FACT_SALES.fieldNames()).checkpoint(eager=True)
-    inserted = rows.count()
+    guard = gate.Gate(facts.with_partition_columns(rows).select(*schemas.FACT_SALES.fieldNames()), gate.fact_rules())
+    rows = guard.rows.checkpoint(eager=True)
+    inserted = guard.check()
     if inserted:
         rollup.open_load(spark, root, months)
         incremental.append_filter(rows.select(*schemas.FACT_LINE_KEY, "month_key"), filters, known)
@@ -150,11 +156,13 @@ def write_rejects(staged: Mapping[str, DataFrame], path: str, as_of: dt.datetime
 
 
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], warehouse_root: str,
-                 as_of: dt.datetime, run_id: str | None = None) -> DataFrame:
+                 as_of: dt.datetime, run_id: str | None = None, strict: bool = False) -> DataFrame:
     """Extract (snapshot to staging, published atomically), then transform
-    and load from the published snapshot."""
+    and load from the published snapshot. ``strict`` refuses a snapshot that
+    breaks a declared constraint of the source tables; without it the
+    cleaning rules put such rows into ``rejects/``."""
     staging = f"{warehouse_root.rstrip('/')}/staging"
-    snapshot_to_staging(spark, sources, staging, run_id)
+    snapshot_to_staging(spark, sources, staging, run_id, gate.source_rules() if strict else None)
     return transform_and_load(spark, read_staging(spark, staging), warehouse_root, as_of)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlet.operators.gate import Gate, Rules, refuse
 from martlet.schemas import SOURCE_KEYS, SOURCES
 from martlet.sources.files import Files
 
@@ -65,13 +66,25 @@ def read_parquet_source(spark: SparkSession, root: str, table: str) -> DataFrame
 
 
 def snapshot_to_staging(spark: SparkSession, tables: Mapping[str, DataFrame], staging_root: str,
-                        run_id: str | None = None) -> str:
+                        run_id: str | None = None, rules: Mapping[str, Rules] | None = None) -> str:
     """Copy every source table into ``staging_root/run=<id>/<table>`` and
-    then publish them together by one entry of the commit log."""
+    then publish them together by one entry of the commit log.
+
+    With ``rules`` (by table) the violations are counted by the copy itself;
+    if any table has some, the run is not published and ``RuleViolation``
+    names those of all tables."""
     run_id = run_id or uuid.uuid4().hex
     root = staging_root.rstrip("/")
+    violated: dict[str, int] = {}
     for name, df in tables.items():
-        conform(df, SOURCES[name]).write.mode("overwrite").parquet(f"{root}/run={run_id}/{name}")
+        rows, guard = conform(df, SOURCES[name]), None
+        if rules and name in rules:
+            guard = Gate(rows, rules[name])
+            rows = guard.rows
+        rows.write.mode("overwrite").parquet(f"{root}/run={run_id}/{name}")
+        if guard:
+            violated.update({rule: n for rule, n in guard.counts().items() if n})
+    refuse(violated)
     publish(spark, root, run_id, {name: f"run={run_id}/{name}" for name in tables})
     return run_id
 
