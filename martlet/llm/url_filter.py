@@ -125,15 +125,25 @@ def _keys(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", max_bytes: int = 256 << 20) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule`` (null if none) and ``verdict``."""
+    """``pages`` with ``host``, ``path``, ``rule`` (null if none) and ``verdict``.
+
+    Columns of ``pages`` with one of these four names, in any case, are
+    replaced. A rule whose verdict is neither ``block`` nor ``allow`` is an
+    error (``ValueError``)."""
     spark = pages.sparkSession
     ship(spark)
     rules = stored(rules.select("host", "path", "verdict").dropna().distinct().withColumn("h", F.xxhash64("host", "path")))
+    odd = rules.filter(~F.col("verdict").isin("block", "allow")).first()
+    if odd is not None:
+        raise ValueError(f"verdict of rule {odd['host']}{odd['path']} is neither block nor allow: {odd['verdict']}")
     sizes = F.size(F.split("host", "\\.", -1)), F.length("path")
     shapes = sorted(tuple(r) for r in rules.select(*sizes).distinct().collect())
     host, path = host_and_path(F.col(url))
-    pages = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c in pages.columns])
-    pages = pages.select("*", host.alias("host"), path.alias("path"))
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    pages = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
+    own = "__keys"
+    while own in {c.lower() for c in kept}:
+        own += "_"
     if not shapes:
         return pages.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit("allow"))
     keys = _keys(F.col("host"), F.col("path"), shapes)
@@ -144,7 +154,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", max_bytes: int =
     def run(batches):
         block, allow = sent.value
         for batch in batches:
-            lists_ = batch.column("__keys")
+            lists_ = batch.column(own)
             edge = lists_.offsets.to_numpy()
             flat = lists_.flatten()
             h = flat.field("h").to_numpy().view(U)
@@ -158,10 +168,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", max_bytes: int =
                 r = int(row[i])
                 if size > best[r]:
                     best[r], rule[r], verdict[r] = size, hosts[i] + paths[i], "allow" if on[i] == 2 else "block"
-            rest = batch.drop_columns(["__keys"])
+            rest = batch.drop_columns([own])
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())],
                                              names=[*rest.schema.names, "rule", "verdict"])
 
     hashed = F.transform(keys, lambda k: F.struct(k["host"].alias("host"), k["path"].alias("path"), F.xxhash64(k["host"], k["path"]).alias("h")))
     wide = pages.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit("")).schema
-    return pages.withColumn("__keys", hashed).mapInArrow(run, wide)
+    return pages.withColumn(own, hashed).mapInArrow(run, wide)
