@@ -20,7 +20,8 @@ A block holds vectors of one length, so nothing is padded.
 Cases: vectors that are null, empty, or hold a null or non-finite component
 take no part (the SQL leaves out the same ones); neither do null ids. Repeated
 ids are candidates each, and a query that is repeated counts once; a row
-with the query's id is never its candidate. Scores must fit 64 bits.
+with the query's id is never its candidate. Vectors whose scores might not
+stay below 2^61 are refused (``OverflowError``) before anything is scored.
 """
 
 from __future__ import annotations
@@ -174,7 +175,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     (a, long, _), (b, wide, total) = sizes(rows), sizes(asked)
     if a is None or b is None:
         return empty
-    reach = min(int(a) * int(b) * min(long, wide) + 1, 2**61)
+    reach = int(a) * int(b) * min(long, wide) + 1
+    if min(int(a), int(b)) < 0 or reach > 2**61:
+        raise OverflowError(f"components of up to {a} and {b} over {min(long, wide)} places: scores may pass 2^61")
     waves = int(total * 8 // WAVE_BYTES) + 1
     out = empty
     for k_ in range(waves):
