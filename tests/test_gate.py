@@ -93,3 +93,12 @@ def test_report_reads_each_table_once(spark):
     assert one.count("Scan parquet") <= plan_of(src.table("products")).count("Scan parquet")
     names = {r.rule for r in all_queries()["audit_write_rules"](spark, SF_SMALL).collect()}
     assert names == {n for r in rules.values() for n in r.violations}
+
+
+def test_line_without_a_price_refuses_the_fact_load(spark, scratch):
+    tabs = small_sources(spark)
+    line = "transaction_item_id long, transaction_id int, product_id int, quantity int, price decimal(10,2)"
+    tabs["transaction_items"] = spark.createDataFrame([(1, 100, 1, 2, Decimal("2.50")), (2, 100, 1, 1, None)], line)
+    with pytest.raises(gate.RuleViolation, match="fact_sales.unit_price not null: 1 rows"):
+        pipeline.run_pipeline(spark, tabs, scratch, AS_OF)
+    assert not os.path.exists(os.path.join(scratch, "fact_sales"))
