@@ -17,7 +17,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from martlet.schemas import SOURCE_KEYS, SOURCES
+from martlet.schemas import SOURCES
 from martlet.session import configure
 
 
@@ -26,21 +26,11 @@ def _session() -> SparkSession:
 
 
 def _sources(spark: SparkSession, args) -> dict:
-    from martlet.sources import readers
+    from martlet.sources import readers, splits
 
     if args.source_dir:
         return {t: readers.read_parquet_source(spark, args.source_dir, t) for t in SOURCES}
-    tables = {}
-    for t in SOURCES:
-        key = SOURCE_KEYS[t]
-        bounds = (spark.read.format("jdbc")
-                  .options(**readers.jdbc_options(args.jdbc_url, f"(select min({key}) lo, max({key}) hi from {t}) b",
-                                                  args.user, args.password))
-                  .load().first())
-        lo, hi = int(bounds["lo"] or 0), int(bounds["hi"] or 0)
-        tables[t] = readers.read_jdbc_source(spark, args.jdbc_url, t, lo, hi + 1,
-                                             user=args.user, password=args.password)
-    return tables
+    return {t: splits.read_jdbc_splits(spark, args.jdbc_url, t, args.rows_per_split, args.user, args.password) for t in SOURCES}
 
 
 def cmd_etl(args) -> int:
@@ -48,7 +38,7 @@ def cmd_etl(args) -> int:
 
     spark = _session()
     as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    summary = run_pipeline(spark, _sources(spark, args), args.warehouse, as_of, strict=args.strict)
+    summary = run_pipeline(spark, _sources(spark, args), args.warehouse, as_of, strict=args.strict, running=args.running)
     for r in summary.collect():
         print(f"{r.table_name}: {r.candidates} candidates, {r.inserted} inserted")
     return 0
@@ -101,11 +91,13 @@ def main(argv: list[str] | None = None) -> int:
     src = etl.add_mutually_exclusive_group(required=True)
     src.add_argument("--source-dir", help="folder with one Parquet folder per source table")
     src.add_argument("--jdbc-url")
+    etl.add_argument("--rows-per-split", type=int, default=1_000_000, help="rows of one parallel read (--jdbc-url)")
     etl.add_argument("--user")
     etl.add_argument("--password")
     etl.add_argument("--warehouse", required=True)
     etl.add_argument("--as-of", help="ISO timestamp; rows after it are held back (default: now, UTC)")
     etl.add_argument("--strict", action="store_true", help="refuse a snapshot that breaks a declared constraint")
+    etl.add_argument("--running", action="store_true", help="keep up running totals of each customer's spend")
     etl.set_defaults(fn=cmd_etl)
 
     for name, fn, text in [("ingest", cmd_ingest, "validate and split sale events"),

@@ -4,9 +4,10 @@ taking ``(spark, sf_dir)`` and reading the test tables of ``sf_dir``."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ from martlet.functions.text import py_strip, strip_lower, strip_title
 from martlet.operators import clean, dims, events, facts, gate, incremental, quality, relops
 from martlet.operators.joins import broadcast_if_small
 from martlet.operators.ordering import first_per_key
-from martlet.plans import rollup, star
-from martlet.schemas import FACT_LINE_KEY
+from martlet.plans import rollup, running, star
+from martlet.schemas import FACT_LINE_KEY, SOURCE_KEYS
 from martlet.session import checkpoint_dir
+from martlet.sources import splits
 from martlet.sources.fixtures import AS_OF, SourceSet, sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +199,27 @@ def fact_partition_bounds(src: Ctx) -> DataFrame:
 
 # --- scans, coercions, text -----------------------------------------------------------
 
+@query
+def scan_splits(src: Ctx) -> DataFrame:
+    """Each source table through the splits planned for its key (about 16 by
+    their rows): the rows that the splits read, and whether one of them holds
+    over twice the mean."""
+    spark, out = src.customers.sparkSession, []
+    for table in ("customers", "products", "transactions", "transaction_items"):
+        rows, view, key = src.table(table), f"martlet_{table}_{uuid.uuid4().hex}", SOURCE_KEYS[table]
+        rows.select(key).createOrReplaceTempView(view)
+        conditions = splits.plan(spark.sql, view, key, max(1, rows.count() // 16))
+        read = F.explode(F.array_compact(F.array(*[F.when(F.expr(c), F.lit(i)) for i, c in enumerate(conditions)])))
+        depth = rows.select(read.alias("split"), key).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col(key).cast("decimal(20,0)")).alias("keys"))
+        mean = F.sum("n") / len(conditions)
+        out.append(depth.agg(F.sum("n").alias("n_rows"), F.sum("keys").cast("decimal(38,0)").alias("key_sum"),
+                             F.coalesce(F.max("n") > 2 * mean, F.lit(False)).alias("uneven"))
+                   .select(F.lit(table).alias("table_name"), "n_rows", "key_sum", "uneven"))
+        spark.catalog.dropTempView(view)
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def scan_snapshot_counts(src: Ctx) -> DataFrame:
     frames = [src.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -411,6 +434,19 @@ def running_customer_spend(src: Ctx) -> DataFrame:
     return relops.running_spend(src.tx_clean)
 
 
+@query
+def running_spend_loads(src: Ctx) -> DataFrame:
+    """The stored running totals after three loads: the sales before a day,
+    all sales but every fifth, then a whole snapshot with the late fifth."""
+    spark, tx = src.customers.sparkSession, src.tx_clean
+    root = f"{checkpoint_dir(spark)}/martlet-running-{uuid.uuid4().hex}"
+    early = F.pmod(F.xxhash64("transaction_id"), F.lit(5)) > 0
+    before = F.col("transaction_date") < F.to_date(F.lit(str(LOADED_BEFORE)), "yyyyMMdd")
+    for batch in (tx.where(early & before), tx.where(early), tx):
+        running.extend(spark, batch, root)
+    return running.read(spark, root).select("customer_id", "transaction_id", F.col("running_total").cast("decimal(18,2)").alias("running_total"))
+
+
 @query
 def campaign_calendar(src: Ctx) -> DataFrame:
     return relops.active_days(clean.clean_campaigns(src.marketing_campaigns))

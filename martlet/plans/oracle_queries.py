@@ -61,6 +61,11 @@ oracle("fact_partition_bounds", """
     FROM (SELECT DISTINCT transaction_date_key // 100 AS m FROM fact_sales)""", "fact_sales")
 
 # --- scans, coercions, text -----------------------------------------------------------------
+oracle("scan_splits", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, CAST(SUM({k}) AS DECIMAL(38,0)) AS key_sum, FALSE AS uneven FROM {t}"
+    for t, k in [("customers", "customer_id"), ("products", "product_id"), ("transactions", "transaction_id"),
+                 ("transaction_items", "transaction_item_id")]),
+       "customers", "products", "transactions", "transaction_items")
 oracle("scan_snapshot_counts", """
     SELECT 'customers' AS table_name, COUNT(*) AS n_rows FROM customers
     UNION ALL SELECT 'products', COUNT(*) FROM products
@@ -190,6 +195,7 @@ oracle("running_customer_spend", """
            CAST(SUM(total_amount) OVER (PARTITION BY customer_id ORDER BY transaction_date, transaction_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS running_total
     FROM tx_clean""", "tx_clean")
+ORACLE["running_spend_loads"] = ORACLE["running_customer_spend"]
 oracle("campaign_calendar", """
     SELECT campaign_id, CAST(d AS DATE) AS active_date
     FROM camp_clean, unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP),

@@ -23,6 +23,7 @@ from martlet import schemas
 from martlet.functions.dates import date_key, month_key
 from martlet.operators import clean, dims, facts, gate, incremental
 from martlet.plans import rollup
+from martlet.plans import running as running_totals
 from martlet.session import configure
 from martlet.sources.readers import read_or_empty, read_staging, snapshot_to_staging
 
@@ -95,8 +96,9 @@ def load_fact(spark: SparkSession, tx: DataFrame, items: DataFrame, root: str, m
 
 
 def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], warehouse_root: str,
-                       as_of: dt.datetime) -> DataFrame:
-    """Clean the staged tables, load the four dimensions and the fact.
+                       as_of: dt.datetime, running: bool = False) -> DataFrame:
+    """Clean the staged tables, load the four dimensions and the fact, and
+    with ``running`` the running totals of each customer's spend.
     Returns (table_name, candidates, inserted) per target."""
     configure(spark)
     root = warehouse_root.rstrip("/")
@@ -138,6 +140,8 @@ def transform_and_load(spark: SparkSession, staged: Mapping[str, DataFrame], war
                     .where(F.col("m").isNotNull()).distinct().collect())
     candidates, inserted = load_fact(spark, tx, staged["transaction_items"], root, months)
     summary.append(("fact_sales", candidates, inserted))
+    if running:
+        summary.append(("running_spend", tx.count(), running_totals.extend(spark, tx, f"{root}/running_spend")))
     return spark.createDataFrame(summary, "table_name string, candidates long, inserted long")
 
 
@@ -156,14 +160,15 @@ def write_rejects(staged: Mapping[str, DataFrame], path: str, as_of: dt.datetime
 
 
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], warehouse_root: str,
-                 as_of: dt.datetime, run_id: str | None = None, strict: bool = False) -> DataFrame:
+                 as_of: dt.datetime, run_id: str | None = None, strict: bool = False, running: bool = False) -> DataFrame:
     """Extract (snapshot to staging, published atomically), then transform
     and load from the published snapshot. ``strict`` refuses a snapshot that
     breaks a declared constraint of the source tables; without it the
-    cleaning rules put such rows into ``rejects/``."""
+    cleaning rules put such rows into ``rejects/``. ``running`` keeps up the
+    running totals too (``read_running_spend``)."""
     staging = f"{warehouse_root.rstrip('/')}/staging"
     snapshot_to_staging(spark, sources, staging, run_id, gate.source_rules() if strict else None)
-    return transform_and_load(spark, read_staging(spark, staging), warehouse_root, as_of)
+    return transform_and_load(spark, read_staging(spark, staging), warehouse_root, as_of, running)
 
 
 def read_fact(spark: SparkSession, warehouse_root: str) -> DataFrame:
@@ -173,3 +178,8 @@ def read_fact(spark: SparkSession, warehouse_root: str) -> DataFrame:
 def read_rollup(spark: SparkSession, warehouse_root: str) -> DataFrame:
     """Sales by day, month, quarter and slice, from the stored partials."""
     return rollup.levels(rollup.read(spark, f"{warehouse_root.rstrip('/')}/rollup"))
+
+
+def read_running_spend(spark: SparkSession, warehouse_root: str) -> DataFrame:
+    """Running totals of each customer's spend, where the loads keep them."""
+    return running_totals.read(spark, f"{warehouse_root.rstrip('/')}/running_spend")
