@@ -65,6 +65,42 @@ def unique_violations(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) ->
     return _union([duplicate_keys(df, keys, rule) for rule, df, keys in checks])
 
 
+#: Ids of a block, the size of Spark's bitmaps, and the bytes of one bitmap.
+BLOCK_IDS, BLOCK_BYTES = 32_768, 4096
+
+
+def doubtful_blocks(df: DataFrame, key: str) -> DataFrame:
+    """(block, rows): blocks of consecutive integer ids that hold more rows
+    than different ids. A block is a bitmap, a bit an id, so this is exact;
+    one bitmap for each task and block is shuffled, and no id."""
+    at = F.col(key).cast("long")
+    blocks = df.where(at.isNotNull()).groupBy(F.bitmap_bucket_number(at).alias("block")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(at))).alias("_ids"))
+    return blocks.where(F.col("rows") > F.col("_ids")).drop("_ids")
+
+
+def clustered(df: DataFrame, key: str) -> bool:
+    """Whether bitmaps of all (partition, block) pairs take less room than the
+    ids: so where ids lie together, as in files written in id order."""
+    at = F.col(key).cast("long")
+    pairs = df.where(at.isNotNull()).groupBy(F.spark_partition_id().alias("p"), F.bitmap_bucket_number(at).alias("block")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    n_pairs, rows = pairs.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return n_pairs * BLOCK_BYTES <= rows * 8
+
+
+def duplicate_ids(df: DataFrame, key: str, rule: str) -> DataFrame:
+    """``duplicate_keys`` of one integer key (null ids are not compared) that
+    shuffles the ids of doubtful blocks only: none where all are unique.
+    Where the ids lie scattered, bitmaps would be larger than the ids, and the
+    grouped count is taken; both give the same number."""
+    if not clustered(df, key):
+        return duplicate_keys(df, [key], rule)
+    blocks = doubtful_blocks(df, key).select("block")
+    at = df.select(F.col(key).cast("long").alias(key)).where(F.col(key).isNotNull()).withColumn("block", F.bitmap_bucket_number(key))
+    return duplicate_keys(at.join(broadcast_if_small(blocks), "block", "left_semi"), [key], rule)
+
+
 def check_violations(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
     """CHECK constraints: a row violates when the predicate is FALSE (a
     NULL result passes, as in SQL)."""

@@ -475,6 +475,13 @@ def audit_nulls(src: Ctx) -> DataFrame:
     return quality.null_violations(_source_tables(src))
 
 
+@query
+def audit_unique_ids(src: Ctx) -> DataFrame:
+    """The integer keys among the unique ones, by bitmaps of their blocks."""
+    return reduce(DataFrame.unionByName, [
+        quality.duplicate_ids(src.table(t), SOURCE_KEYS[t], f"{t}.{SOURCE_KEYS[t]} unique") for t in SOURCE_TABLES])
+
+
 @query
 def audit_unique(src: Ctx) -> DataFrame:
     return quality.unique_violations([

@@ -232,6 +232,8 @@ def _dups(rule: str, table: str, key: str) -> str:
             f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1)) AS n_violations")
 
 
+oracle("audit_unique_ids", "\nUNION ALL\n".join(_dups(f"{t}.{cols[0]} unique", t, cols[0]) for t, cols in _SOURCE_COLS.items()),
+       *_SOURCE_COLS)
 oracle("audit_unique", "\nUNION ALL\n".join([
     _dups("customers.customer_id unique", "customers", "customer_id"),
     _dups("customers.email unique", "customers", "email"),
