@@ -18,7 +18,9 @@ customer who holds a third of all rows is not put into one task.
 
 A load notes that it is open; where the next one finds the note, it takes the
 carries from the rows that are there. Rows that a crash lost are missing from
-the carries too, so the next load of the same batch adds them.
+the carries too, so the next load of the same batch adds them. A bucket that
+is lost in the middle of its replacement comes back with the next whole
+snapshot only.
 
 Cases: a row without a date has no place in the order and is left out; a null
 customer is a customer like any other; a null amount counts as 0; repeated
