@@ -18,6 +18,7 @@ that differ from the fact.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from martlet.sources.readers import path_exists, read_or_empty
 
 MONEY = "decimal(28,2)"
 OPEN = "_load_open.json"
+#: Partials that one task of ``levels`` merges.
+ROWS = 250_000
 #: Slice name and the fact's key column; ``all`` has no member.
 SLICES = {"customer": "customer_key", "product": "product_key", "campaign": "campaign_key"}
 PARTIAL = T.StructType([
@@ -78,25 +81,31 @@ def quarter_key(mkey: str = "month_key") -> F.Column:
     return ((m / 100).cast("int") * 10 + F.ceil((m % 100) / 3).cast("int")).cast("int")
 
 
-def levels(parts: DataFrame) -> DataFrame:
+def levels(parts: DataFrame, rows: int | None = None) -> DataFrame:
     """(slice, member, level, period, measures): every level from partials of
     any number of loads; ``period`` is YYYYMMDD, YYYYMM or YYYYQ. Slices have
-    the levels month and quarter, ``all`` has the day too."""
-    keyed = parts.withColumn("quarter_key", quarter_key())
-    columns = ["slice", "member", "quarter_key", "month_key", "day_key"]
-    grouped = keyed.groupingSets([columns, columns[:4], columns[:3]], *columns).agg(F.grouping_id().alias("gid"), *_merged())
-    level = F.when(F.col("gid") == 0, "day").when(F.col("gid") == 1, "month").otherwise("quarter")
-    period = F.when(F.col("gid") == 0, F.col("day_key")).when(F.col("gid") == 1, F.col("month_key")).otherwise(F.col("quarter_key"))
-    return grouped.filter((F.col("gid") > 0) | (F.col("slice") == "all")).select(
-        "slice", "member", level.alias("level"), period.cast("int").alias("period"), "n_lines", "quantity", "gross", "profit")
+    the levels month and quarter, ``all`` has the day too.
+
+    ``rows``: about how many partials there are, or an upper bound (default:
+    counted). Members are dealt to as many tasks as ``ROWS`` partials each ask
+    for, so what a task holds does not grow with the sales. A member has one
+    row a month and load (``all``: a day and load), so none fills a task."""
+    n = max(1, math.ceil((parts.count() if rows is None else rows) / ROWS))
+    at = lambda name, key: F.struct(F.lit(name).alias("level"), key.cast("int").alias("period"))
+    day, month, quarter = at("day", F.col("day_key")), at("month", F.col("month_key")), at("quarter", quarter_key())
+    of = F.when(F.col("slice") == "all", F.array(day, month, quarter)).otherwise(F.array(month, quarter))
+    dealt = parts.repartition(n, "slice", "member").select(
+        "slice", "member", F.explode(of).alias("at"), "n_lines", "quantity", "gross", "profit")
+    return dealt.select("slice", "member", "at.level", "at.period", "n_lines", "quantity", "gross", "profit").groupBy(
+        "slice", "member", "level", "period").agg(*_merged())
 
 
 def by_campaign(parts: DataFrame, dim_campaign: DataFrame) -> DataFrame:
     """Quarterly sales of each campaign, by its id and name. The partials of
     a campaign are one row a month, so the join moves a few rows only."""
-    rows = levels(parts.filter(F.col("slice") == "campaign")).filter(F.col("level") == "quarter")
+    rows = parts.filter(F.col("slice") == "campaign").groupBy("member", quarter_key().alias("quarter_key")).agg(*_merged())
     named = dim_campaign.select(F.col("campaign_key").cast("long").alias("member"), "campaign_id", "campaign_name")
-    return rows.join(named, "member").select("campaign_id", "campaign_name", F.col("period").alias("quarter_key"),
+    return rows.join(named, "member").select("campaign_id", "campaign_name", "quarter_key",
                                              "n_lines", "quantity", "gross", "profit")
 
 

@@ -120,3 +120,24 @@ def test_a_change_of_any_key_column_is_new(spark, column):
     changed = old.withColumn(column, (F.col(column) + 1).cast(old.schema[column].dataType))
     got, n = incremental.new_keys(changed, incremental.line_filter(old, blocks), blocks, old)
     assert (got.count(), n) == (1, 0)
+
+
+def test_levels_are_merged_by_as_many_tasks_as_the_partials_ask_for(spark):
+    """What a task of ``levels`` holds does not grow with the sales, and a partial goes only into levels it has."""
+    day = F.expr("cast(date_format(date_add(DATE'2024-01-01', cast(id % 400 as int)), 'yyyyMMdd') as int)")
+    fact = spark.range(3000).select(
+        day.alias("transaction_date_key"), (F.col("id") % 50).cast("int").alias("customer_key"), (F.col("id") % 70).cast("int").alias("product_key"),
+        F.lit(1).alias("campaign_key"), F.lit(2).alias("quantity"), F.lit("1.10").cast("decimal(12,2)").alias("gross_amount"),
+        F.lit("0.10").cast("decimal(12,2)").alias("profit_amount"))
+    parts = rollup.partials(fact.where("transaction_date_key < 20240615")).unionByName(rollup.partials(fact.where("transaction_date_key >= 20240615")))
+    many = rollup.levels(parts, rows=19 * rollup.ROWS + 1)
+    assert many.rdd.getNumPartitions() == 20
+    got = {(r.slice, r.member, r.level, r.period): (r.n_lines, r.quantity, str(r.gross), str(r.profit)) for r in many.collect()}
+    want = {}
+    for f in fact.collect():
+        d, m = f.transaction_date_key, f.transaction_date_key // 100
+        periods = [("month", m), ("quarter", m // 100 * 10 + (m % 100 + 2) // 3)]
+        for key in [("all", None, "day", d), *[(s, None if s == "all" else f[c], *p) for s, c in (("all", None), *rollup.SLICES.items()) for p in periods]]:
+            want[key] = want.get(key, 0) + 1
+    assert got == {k: (n, 2 * n, str(n * Decimal("1.10")), str(n * Decimal("0.10"))) for k, n in want.items()}
+    assert table(rollup.levels(parts)) == table(many)
