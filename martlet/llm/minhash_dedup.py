@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm import _words as w
+from martlet.llm import url_filter
 from martlet.llm._common import ship, spent, stored
 
 M, BANDS = 80, 20
@@ -50,6 +51,10 @@ PARTNERS = 500
 ROUNDS = 8
 #: The rounds end once one links less than this share of its pairs.
 YIELD = 0.05
+#: Bytes of text whose shingles a task holds at a time.
+SLICE = 1 << 19
+#: Bytes of the filter of the texts that are read again, at most; beyond it more of the others pass.
+FILTER_BYTES = 64 << 20
 GRAM_BASE = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -112,16 +117,17 @@ def _keys(of: np.ndarray, code: np.ndarray, n: int) -> dict:
     return out
 
 
-def _sets(k: int):
-    """The sorted shingles of each text."""
+def _sets(k: int, wanted):
+    """The sorted shingles of the texts whose doc_id the filter ``wanted`` lets through."""
 
     def run(batches):
         for batch in batches:
-            for part in w.pieces(batch, "text", 1 << 20):
+            ids = batch.column("doc_id").to_numpy().astype(np.int64).view(U)
+            for part in w.pieces(batch.filter(pa.array(url_filter.passes(wanted.value, ids, 0))), "text", SLICE):
                 of, code, n = shingle_sets(part.column("text"), k)
                 edge = pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_pydict({
-                    "want": part.column("want"), **_keys(of, code, n), "grams": pa.ListArray.from_arrays(edge, pa.array(code.view(np.int64)))})
+                    "doc_id": part.column("doc_id"), **_keys(of, code, n), "grams": pa.ListArray.from_arrays(edge, pa.array(code.view(np.int64)))})
 
     return run
 
@@ -131,7 +137,7 @@ def _sketches(k: int):
 
     def run(batches):
         for batch in batches:
-            for part in w.pieces(batch, "text", 1 << 20):
+            for part in w.pieces(batch, "text", SLICE):
                 of, code, n = shingle_sets(part.column("text"), k)
                 sig = signatures(of, code, np.ones(len(of)), n)
                 bands = np.zeros((n, BANDS), U)
@@ -218,6 +224,21 @@ def rest_pairs(entries: DataFrame, groups: DataFrame, threshold: float) -> DataF
     return pairs
 
 
+def _groups(known: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(gid, grams): the whole sets of the ``wanted`` (doc_id, gid), as a stored table.
+
+    Only the texts that share a band are read again. A Bloom filter of their
+    ids goes to the tasks that read the texts, so the sets of the others are
+    not built and no text is shuffled; the join decides exactly."""
+    spark, same = known.sparkSession, ["size", "k1", "k2"]
+    wanted = stored(wanted)
+    words = min(max(4, -(-wanted.count() * url_filter.BITS // 64)), FILTER_BYTES // 8)
+    sent = spark.sparkContext.broadcast(url_filter.bitmap(wanted.select(F.col("doc_id").alias("h")), 0, words))
+    sets = known.mapInArrow(_sets(shingle, sent), "doc_id long, size long, k1 long, k2 long, grams array<long>")
+    sets = sets.select("doc_id", F.xxhash64(*same).alias("gid"), "grams")
+    return stored(sets.join(wanted, ["doc_id", "gid"]).dropDuplicates(["doc_id", "gid"]).select("gid", "grams"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id and
     ``class_id``, the least doc_id of its class."""
@@ -233,13 +254,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
     )
     label = spark.createDataFrame([], "id long, part long")
     entries = _tagged(entries, label)
-    # Only the texts that share a band are read again, for their whole sets.
-    wanted = member.join(entries.select("gid").distinct(), "gid").select(F.col("first_id").alias("doc_id"), F.col("gid").alias("want"))
-    groups = (
-        known.join(stored(wanted), "doc_id").mapInArrow(_sets(shingle), "want long, size long, k1 long, k2 long, grams array<long>")
-        .filter(F.col("want") == F.xxhash64(*same)).select(F.col("want").alias("gid"), "grams")
-    )
-    groups = stored(groups.dropDuplicates(["gid"]))
+    groups = _groups(known, member.join(entries.select("gid").distinct(), "gid").select(F.col("first_id").alias("doc_id"), "gid"), shingle)
     hubs = True
     for r in range(ROUNDS + 1):
         if entries.isEmpty():

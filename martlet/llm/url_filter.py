@@ -71,14 +71,8 @@ class Cascade:
         return out
 
 
-def _filter(keys: DataFrame, level: int, max_bytes: int) -> np.ndarray | None:
-    """A Bloom filter of the keys' hashes, or None if there are no keys."""
-    n = keys.count()
-    if not n:
-        return None
-    words = max(4, -(-n * BITS // 64))
-    if 8 * words > max_bytes:
-        raise ValueError(f"{n} keys need a filter of {8 * words} bytes, over max_bytes")
+def bitmap(keys: DataFrame, level: int, words: int) -> np.ndarray:
+    """A Bloom filter of ``words`` words of the hashes ``h``."""
 
     def bits(batches):
         for batch in batches:
@@ -91,6 +85,17 @@ def _filter(keys: DataFrame, level: int, max_bytes: int) -> np.ndarray | None:
     return out
 
 
+def _filter(keys: DataFrame, level: int, max_bytes: int) -> np.ndarray | None:
+    """A Bloom filter of the keys' hashes, or None if there are no keys."""
+    n = keys.count()
+    if not n:
+        return None
+    words = max(4, -(-n * BITS // 64))
+    if 8 * words > max_bytes:
+        raise ValueError(f"{n} keys need a filter of {8 * words} bytes, over max_bytes")
+    return bitmap(keys, level, words)
+
+
 def _passing(keys: DataFrame, words: np.ndarray, level: int) -> DataFrame:
     def run(batches):
         for batch in batches:
