@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.session import checkpoint_dir
 
+#: Bytes of rows that Spark sends a Python task at a time, where the session names no bound.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so Python
-    tasks can import it wherever they run."""
+    tasks can import it wherever they run, and bound the batches that these get."""
+    if spark.conf.get(BATCH[0], None) is None:
+        spark.conf.set(*BATCH)
     sc = spark.sparkContext
     if getattr(sc, "_martlet_shipped", False):
         return
