@@ -2,10 +2,11 @@
 
 The texts of a slice are cut before each run of spaces into *units*; no
 piece of the model crosses such a cut, so equal units are encoded once and a
-task keeps the ids of those it has met, up to a bound. The new distinct units are concatenated and a suffix array over them is built by
-prefix doubling. Every piece is binary-searched for the range of its
-occurrences; these are the edges (position, length, piece), sorted by
-position. The edges are then relaxed in the order of the model: in each unit
+task keeps those it has met with their ids, up to a bound. The new distinct
+units are concatenated and a suffix array over them, each suffix up to the
+end of its unit, is built by prefix doubling. Every piece is binary-searched
+for the range of its occurrences; these are the edges (position, length,
+piece), sorted by position. The edges are then relaxed in the order of the model: in each unit
 the best-scored edge that joins two neighbouring symbols (the left one of
 equals) replaces them, until none is left. That is the order of merges of a
 BPE model, so ids are those of the library. A character without a piece
@@ -25,10 +26,10 @@ from __future__ import annotations
 
 import heapq
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
@@ -36,10 +37,11 @@ from martlet.llm import _words as w
 from martlet.llm._common import ship
 
 LONG = 100
+SPACE = "▁"
 UNIT = re.compile("▁+[^▁]*|[^▁]+")
-PACK = 7  # bytes of one key in base 257
+PACK = 5  # bytes of one key in base 257
 #: Bytes of text a task takes at a time, and of the units it keeps.
-SLICE, KNOWN = 1 << 20, 32 << 20
+SLICE, KNOWN = 1 << 20, 8 << 20
 
 
 def load(path: str) -> list[tuple[int, bytes, float]]:
@@ -59,34 +61,54 @@ def byte_ids(path: str) -> list[int]:
     return [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-def packed(buf: np.ndarray) -> np.ndarray:
-    """For each position, the PACK bytes from there on as one number; 0 past the end."""
+def sorted_by(key: np.ndarray, most: int):
+    """The order of non-negative keys of at most ``most``, and the keys in it.
+    Where key and index fit one number, numpy sorts these numbers in place of indices."""
+    n = len(key)
+    bits = n.bit_length()
+    if most < 1 << (63 - bits):
+        both = np.sort((key << bits) | np.arange(n))
+        return both & ((1 << bits) - 1), both >> bits
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
+def packed(buf: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each position, the PACK bytes from there on as one number; 0 past the end of its unit, ``left`` bytes on."""
     n = len(buf)
     wide = np.concatenate([buf.astype(np.int64) + 1, np.zeros(PACK, np.int64)])
     key = np.zeros(n, np.int64)
     for j in range(PACK):
-        key = key * 257 + wide[j : j + n]
+        key = key * 257 + wide[j : j + n] * (left > j)
     return key
 
 
-def suffix_array(key: np.ndarray, depth: int) -> np.ndarray:
-    """Positions sorted by the ``depth`` bytes from there on, by prefix doubling."""
+def suffix_array(key: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """Positions sorted by the ``depth`` bytes from there on, up to the end of
+    the unit, by prefix doubling; only those that still tie are sorted again."""
     n, have = len(key), PACK
-    order = np.argsort(key, kind="stable")
-    while True:
-        k = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[1], k[1:] != k[:-1]]))
-        if have >= depth or rank[order[-1]] == n:
-            return order
-        ahead = np.zeros(n, np.int64)
-        ahead[: max(0, n - have)] = rank[have:]
-        key = rank * (n + 1) + ahead
-        order = np.argsort(key, kind="stable")
+    order, k = sorted_by(key, 257**PACK)
+    slots, rank = np.arange(n), np.empty(n, np.int64)
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    rank[order] = np.maximum.accumulate(slots * new)
+    while have < depth:
+        tied = np.concatenate([~new[1:], [False]]) | ~new
+        slots = slots[tied]
+        slots = slots[left[order[slots]] >= have]
+        if not len(slots):
+            break
+        at = order[slots]
+        ahead = np.where(left[at] > have, rank[np.minimum(at + have, n - 1)] + 1, 0)
+        by, k = sorted_by(rank[at] * (n + 1) + ahead, n * (n + 1))
+        at = at[by]
+        order[slots] = at
+        new = np.concatenate([[True], k[1:] != k[:-1]])
+        rank[at] = np.maximum.accumulate(slots * new)
         have *= 2
+    return order
 
 
-def _bound(key, order, shift, lo, hi, value, right):
+def _bound(key, left, order, shift, lo, hi, value, right):
     """Binary search of each value in its own range of suffixes, by the key ``shift`` bytes in."""
     lo, hi = lo.copy(), hi.copy()
     while True:
@@ -94,8 +116,8 @@ def _bound(key, order, shift, lo, hi, value, right):
         if not open_.any():
             return lo
         mid = (lo + hi) // 2
-        at = order[np.minimum(mid, len(order) - 1)] + shift
-        k = np.where(at < len(key), key[np.minimum(at, len(key) - 1)], 0)
+        at = order[np.minimum(mid, len(order) - 1)]
+        k = np.where(left[at] > shift, key[np.minimum(at + shift, len(key) - 1)], 0)
         go = open_ & ((k <= value) if right else (k < value))
         lo, hi = np.where(go, mid + 1, lo), np.where(open_ & ~go, mid, hi)
 
@@ -106,7 +128,8 @@ class Encoder:
         self.size = np.array([len(p[1]) for p in pieces], np.int64)
         self.score = np.array([p[2] for p in pieces], np.float64)
         self.bytes = np.array(bytes_, np.int64)
-        self.forget()
+        self.known = pa.array([], pa.large_binary())
+        self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.depth = int(self.size.max())
         self.columns = -(-self.depth // PACK)
         wide = np.array([p[1].ljust(self.columns * PACK, b"\0") for p in pieces], f"S{self.columns * PACK}").view(np.uint8)
@@ -117,31 +140,29 @@ class Encoder:
 
     def edges(self, buf: np.ndarray, unit_end: np.ndarray):
         """(position * (depth + 1) + length, piece) of every occurrence inside a unit, sorted."""
-        key = packed(buf)
-        order = suffix_array(key, self.depth)
-        lo, hi = np.zeros(len(self.id), np.int64), np.full(len(self.id), len(buf))
-        for c in range(self.columns):
+        left = unit_end - np.arange(len(buf))
+        key = packed(buf, left)
+        order = suffix_array(key, left, self.depth)
+        first = key[order]
+        lo, hi = np.searchsorted(first, self.low[0]), np.searchsorted(first, self.high[0], side="right")
+        for c in range(1, self.columns):
             use = np.flatnonzero((self.size > c * PACK) & (lo < hi))
-            a = _bound(key, order, c * PACK, lo[use], hi[use], self.low[c, use], False)
-            b = _bound(key, order, c * PACK, a, hi[use], self.high[c, use], True)
+            a = _bound(key, left, order, c * PACK, lo[use], hi[use], self.low[c, use], False)
+            b = _bound(key, left, order, c * PACK, a, hi[use], self.high[c, use], True)
             lo[use], hi[use] = a, b
         n = hi - lo
         total = np.cumsum(n)
         piece = np.repeat(np.arange(len(n)), n)
-        pos = order[np.arange(total[-1]) - np.repeat(total - n, n) + np.repeat(lo, n)]
-        inside = pos + self.size[piece] <= unit_end[pos]
-        pos, piece = pos[inside], piece[inside]
-        key = pos * (self.depth + 1) + self.size[piece]
-        by = np.argsort(key, kind="stable")
-        return key[by], piece[by]
-
-    def units(self, units: list[bytes]):
+        pos = order[np.arange(total[-1]) + np.repeat(lo - total + n, n)]
+        by, key = sorted_by(pos * (self.depth + 1) + self.size[piece], (len(buf) + 1) * (self.depth + 1))
+        return key, piece[by]
+
+    def units(self, units: pa.LargeBinaryArray):
         """Token ids of all units, and where each unit's begin (one more entry than units)."""
-        if not units:
+        if not len(units):
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        buf = np.frombuffer(b"".join(units), np.uint8)
-        size = np.array([len(u) for u in units])
-        ends = np.cumsum(size)
+        buf, ends = w.text_bytes(units)
+        size, ends = np.diff(ends), ends[1:]
         key, piece = self.edges(buf, np.repeat(ends, size))
         start = np.flatnonzero((buf & 0xC0) != 0x80)
         length = np.diff(np.append(start, len(buf)))
@@ -235,29 +256,41 @@ class Encoder:
         keep = np.array(size) > 0
         return start[keep], np.array(size)[keep]
 
-    def encode(self, texts: list[str | None]):
+    def encode(self, texts: pa.Array):
         """Ids of all texts in one array, and where each text's begin. Units
-        stay known from call to call, until they take ``KNOWN`` bytes."""
-        seen = self.known
-        rows = [[seen.setdefault(u, len(seen)) for u in UNIT.findall("▁" + t.replace(" ", "▁"))] if t else [] for t in texts]
-        fresh = [u.encode("utf-8", "replace") for u in islice(seen, len(self.first) - 1, None)]
-        if fresh:
-            ids, first = self.units(fresh)
-            self.first = np.concatenate([self.first, len(self.ids) + first[1:]])
-            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-            self.held += sum(map(len, fresh)) * 6 + len(fresh) * 200
-        flat = np.fromiter((u for r in rows for u in r), np.int64)
-        n = self.first[flat + 1] - self.first[flat]
-        total = np.concatenate([[0], np.cumsum(n)])
-        out = self.ids[np.arange(total[-1]) - np.repeat(total[:-1] - self.first[flat], n)]
-        at = total[np.cumsum([0, *map(len, rows)])]
-        if self.held > KNOWN:
-            self.forget()
+        stay known from call to call; once they take over ``KNOWN`` bytes,
+        those of the last call do."""
+        texts.validate(full=True)
+        none, space = (pa.scalar(x, pa.large_string()) for x in ("", SPACE))
+        text = pc.replace_substring(texts.cast(pa.large_string()).fill_null(none), " ", SPACE)
+        text = pc.if_else(pc.equal(text, none), none, pc.binary_join_element_wise(space, text, none))
+        buf, row = w.text_bytes(text)
+        a, b, c = SPACE.encode()
+        mark = np.flatnonzero((buf[:-2] == a) & (buf[1:-1] == b) & (buf[2:] == c))
+        is_row = np.zeros(len(buf) + 1, bool)
+        is_row[row] = True
+        begin = mark[is_row[mark] | (np.diff(mark, prepend=-4) != 3)]
+        cuts = np.append(begin, len(buf))
+        units = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(cuts), pa.py_buffer(buf)])
+        # The units known come first in the dictionary, in their order; new ones follow.
+        both = pa.concat_arrays([self.known, units]).dictionary_encode()
+        flat = both.indices.to_numpy()[len(self.known) :]
+        ids, first = self.units(both.dictionary[len(self.known) :])
+        self.known = both.dictionary
+        self.first = np.concatenate([self.first, len(self.ids) + first[1:]])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        out, total = self._ids(flat)
+        at = total[np.searchsorted(begin, row)]
+        if self.known.nbytes + self.first.nbytes + self.ids.nbytes > KNOWN:
+            keep = np.unique(flat)
+            self.known, (self.ids, self.first) = self.known.take(pa.array(keep)), self._ids(keep)
         return out, at
 
-    def forget(self):
-        self.known: dict[str, int] = {}
-        self.ids, self.first, self.held = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+    def _ids(self, units: np.ndarray):
+        """Ids of units known, and where each unit's begin."""
+        n = self.first[units + 1] - self.first[units]
+        total = np.concatenate([[0], np.cumsum(n)])
+        return self.ids[np.arange(total[-1]) - np.repeat(total[:-1] - self.first[units], n)], total
 
 
 class Decoder:
@@ -284,13 +317,12 @@ def _tasks(model, verify: bool):
         encoder, decoder = Encoder(*model.value), Decoder(*model.value)
         for batch in batches:
             for part in w.pieces(batch, "text", SLICE):
-                texts = part.column("text").to_pylist()
+                texts = part.column("text")
                 ids, at = encoder.encode(texts)
-                null = pa.array([t is None for t in texts])
-                columns = [*part.columns, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=null)]
+                columns = [*part.columns, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=texts.is_null())]
                 names = [*part.schema.names, "token_ids"]
                 if verify:
-                    columns.append(pa.array([t is None or t == d for t, d in zip(texts, decoder.decode(ids, at), strict=True)]))
+                    columns.append(pa.array([t is None or t == d for t, d in zip(texts.to_pylist(), decoder.decode(ids, at), strict=True)]))
                     names.append("round_trip")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
